@@ -51,7 +51,7 @@ def _rules(skeletons: DataFrame, codes: bool) -> DataFrame:
         F.lit(r"(?:\\.|[^"), separators, F.lit(r"])[^\\"), separators, F.lit(r"]*+(?:\\.?[^\\"), separators, F.lit(r"]*+)*+")
     )
     value = F.concat(
-        F.lit(r"(?s)\s*+(?:" + _QUOTE + r"(?=\s*+(?:$|["), separators, F.lit("]))|"), bare, F.lit(")")
+        F.lit(r"(?s)\s*+(?:" + _QUOTE + r"(?=\s*(?:$|["), separators, F.lit("]))|"), bare, F.lit(")")
     )
     return skeletons.select(
         "skeleton", value.alias("pattern"), sign.contains("L").alias("is_list"), sign.contains("s").alias("spaced_slash")
