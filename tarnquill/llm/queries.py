@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnquill.llm.lookalike import consistent_form, lookalike_pairs
 from tarnquill.llm.mixing import mix, shares
 from tarnquill.llm.survivors import elect, prepared
 from tarnquill.llm.term_counts import marked, term_frequencies, updated_frequencies
@@ -13,6 +14,25 @@ from tarnquill.session import cut_lineage
 from tarnquill.sources import table
 
 
+def _visible(spark: SparkSession, d: str) -> DataFrame:
+    titles = table(spark, d, "population", "doc_id", "title").select(
+        F.lit("title").alias("field"), F.col("doc_id").alias("key"), F.col("title").alias("text")
+    )
+    names = table(spark, d, "vocab", "keyword_id", "raw_name", "normalized_name").select(
+        F.col("keyword_id").alias("key"), F.expr("stack(2, 'raw_name', raw_name, 'normalized_name', normalized_name)").alias("field", "text")
+    )
+    return titles.unionByName(names)
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike_pairs(_visible(spark, d))
+
+
+def p1_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Every text of the three fields with its consistent form."""
+    return _visible(spark, d).withColumn("form", consistent_form(F.col("text")))
+
+
 def _papers(spark: SparkSession, d: str):
     return table(spark, d, "population", "source").where("source = 'paper'").agg(F.count("*")).scalar()
 
@@ -68,6 +88,7 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found, "p1_forms": p1_forms,
     "p3_found": p3_found, "p3_counts": p3_counts, "p3_dictionary": p3_dictionary,
     "p4_found": p4_found, "p4_golden": p4_golden,
     "p7_ids": p7_ids,
