@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarnquill.llm.lookalike import consistent_form, lookalike_pairs
 from tarnquill.llm.mixing import mix, shares
+from tarnquill.llm.quality import kinds
 from tarnquill.llm.survivors import elect, prepared
 from tarnquill.llm.term_counts import marked, term_frequencies, updated_frequencies
 from tarnquill.llm.tokens import token_counts, token_ids
@@ -87,12 +88,26 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return shares(p8_mix(spark, d), table(spark, d, "mix_targets"))
 
 
+def _kinds(spark: SparkSession, d: str) -> DataFrame:
+    return kinds(table(spark, d, "documents", "doc_id", "text"), table(spark, d, "quality_labels", "doc_id", "label"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return _kinds(spark, d).where("kind <> 'prose'").select("doc_id", "kind")
+
+
+def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """All statistics and the kind of every document with text."""
+    return _kinds(spark, d)
+
+
 QUERIES = {
     "p1_found": p1_found, "p1_forms": p1_forms,
     "p3_found": p3_found, "p3_counts": p3_counts, "p3_dictionary": p3_dictionary,
     "p4_found": p4_found, "p4_golden": p4_golden,
     "p7_ids": p7_ids,
     "p8_mix": p8_mix, "p8_shares": p8_shares,
+    "p9_found": p9_found, "p9_statistics": p9_statistics,
 }
 
 _COUNTS = """
