@@ -11,6 +11,8 @@ from tarnquill.llm.quality import kinds
 from tarnquill.llm.survivors import elect, prepared
 from tarnquill.llm.term_counts import marked, term_frequencies, updated_frequencies
 from tarnquill.llm.tokens import token_counts, token_ids
+from tarnquill.llm.variants import organisations, variant_pairs
+from tarnquill.operators.packed import institution_values
 from tarnquill.session import cut_lineage
 from tarnquill.sources import table
 
@@ -34,6 +36,19 @@ def p1_forms(spark: SparkSession, d: str) -> DataFrame:
     return _visible(spark, d).withColumn("form", consistent_form(F.col("text")))
 
 
+def _institutions(spark: SparkSession, d: str) -> DataFrame:
+    return institution_values(table(spark, d, "recent_metadata", "meta_id", "institutions")).select(F.col("value").alias("name"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return variant_pairs(_institutions(spark, d))
+
+
+def p2_organisations(spark: SparkSession, d: str) -> DataFrame:
+    """Every spelling with the organisation it names."""
+    return organisations(_institutions(spark, d))
+
+
 def _papers(spark: SparkSession, d: str):
     return table(spark, d, "population", "source").where("source = 'paper'").agg(F.count("*")).scalar()
 
@@ -103,6 +118,7 @@ def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_forms": p1_forms,
+    "p2_found": p2_found, "p2_organisations": p2_organisations,
     "p3_found": p3_found, "p3_counts": p3_counts, "p3_dictionary": p3_dictionary,
     "p4_found": p4_found, "p4_golden": p4_golden,
     "p7_ids": p7_ids,
