@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnquill.llm.lookalike import consistent_form
+from tarnquill.session import cut_lineage
 
 #: Words that name nothing.
 STOP = frozenset("of for the and at in de la le les du des der die das von und y et e & del di".split())
@@ -174,7 +175,8 @@ def readings(vocabulary: DataFrame) -> DataFrame:
 def organisations(values: DataFrame) -> DataFrame:
     """(name, organisation) of every distinct value of ``values`` (name)."""
     names = values.where(F.trim("name") != "").groupBy("name").agg(F.count("*").alias("n"))
-    read = _parse(names.withColumn("form", consistent_form(F.col("name"))))
+    # distinct names only; kept, as four branches read them
+    read = cut_lineage(_parse(names.withColumn("form", consistent_form(F.col("name")))))
     # an abbreviation alone (one short word in capitals) has no words to align
     letters = (F.size("words") == 1) & F.col("name").rlike(r"^\p{Lu}{3,10}$")
     alone, read_words = read.where(letters), read.where(~letters)
@@ -182,6 +184,7 @@ def organisations(values: DataFrame) -> DataFrame:
     each = read_words.select("name", "n", F.posexplode("words").alias("pos", "word"))
     vocabulary = each.groupBy("word").agg(F.sum("n").alias("n"))
     each = each.join(readings(vocabulary), "word", "left").select("name", "n", "pos", F.coalesce("reading", "word").alias("word"))
+    each = cut_lineage(each)
     spread = each.groupBy("word").agg(F.count("*").alias("names"))
     rarest = F.min_by("word", F.struct(F.col("names"), -F.length("word"), F.col("word")))
     shaped = each.join(spread, "word").groupBy("name", "n").agg(
@@ -215,7 +218,7 @@ def organisations(values: DataFrame) -> DataFrame:
 
 def variant_pairs(values: DataFrame) -> DataFrame:
     """(name_a, name_b) of all pairs of each organisation's spellings."""
-    found = organisations(values)
+    found = cut_lineage(organisations(values))
     other = found.select(F.col("name").alias("name_b"), "organisation")
     return found.select(F.col("name").alias("name_a"), "organisation").join(other, "organisation").where(
         "name_a < name_b"
