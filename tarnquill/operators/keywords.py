@@ -126,7 +126,10 @@ def masked(weights: DataFrame, broad: DataFrame) -> DataFrame:
 def canonical_snapshots(chosen: DataFrame) -> DataFrame:
     """The snapshot of each work that counts: with keywords first, then newest by text, then by file and content."""
     rows = chosen.withColumn("work", F.regexp_extract("work_id", r"(?i)(W[0-9]+)", 1)).where("work <> ''")
-    valid = F.try_variant_get(F.try_parse_json("raw_keywords"), "$[0]", "variant").isNotNull() | (
+    valid = F.coalesce((
+        # the parser stops after the first value, so the text has to end with the list
+        F.try_variant_get(F.try_parse_json("raw_keywords"), "$[0]", "variant").isNotNull() & F.col("raw_keywords").rlike(r"\]\s*$")
+    ), F.lit(False)) | (
         F.trim(F.coalesce("keywords", F.lit(""))) != ""
     )
     order = [
