@@ -10,6 +10,7 @@ A word that keeps a letter of another alphabet is written wholly in it (its Lati
 word of look-alikes only is written in Latin. The form of a text depends on its look alone and is its own form.
 
 Defined results: null stays null; blank text becomes empty; joiners between letters of scripts that need them stay.
+Records without a key or text are in no pair; several records of one text are in no pair with each other.
 """
 
 from __future__ import annotations
@@ -35,6 +36,10 @@ INVISIBLE_MARKS = [0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180
 JOINING = "؀-ࣿऀ-෿က-႟ក-៿\U0001f000-\U0001faff️♀♂❤"
 
 
+#: Planes that hold letters, marks and format characters.
+CODES = [*range(0x20000), *range(0x2F800, 0x2FA20), *range(0xE0000, 0xE0200)]
+
+
 class Conflict(ValueError):
     """The mapping sends one key to two results, or a result further on."""
 
@@ -42,7 +47,7 @@ class Conflict(ValueError):
 def _entries() -> Iterator[tuple[str, str]]:
     for letters, latin in (CYRILLIC, GREEK, ARMENIAN, OTHER):
         yield from zip(letters, latin, strict=True)
-    for code in range(0x110000):
+    for code in CODES:
         char = chr(code)
         kind = unicodedata.category(char)
         if kind in ("Zs", "Zl", "Zp") or char in "\t\n\v\f\r\x85":
@@ -72,12 +77,12 @@ class Transducer:
         table = compile_mapping()
         self.table = table
         silent = {c for c, result in table.items() if not result}
-        marks = [chr(c) for c in range(0x300, 0x110000) if unicodedata.category(chr(c)) in ("Mn", "Mc", "Me")]
+        marks = [chr(c) for c in CODES if unicodedata.category(chr(c)) in ("Mn", "Mc", "Me")]
         self.silent = re.compile(f"(?:(?<![{JOINING}])[‌‍]|[{self._class(silent - {'‌', '‍'})}])+")
         follow = self._class(set(marks) | silent)
         # clusters that may change: of a mapped or decomposable character, of any character with marks, and lone silents
         first = {c for c, result in table.items() if result}
-        first |= {chr(c) for c in range(0xA0, 0x110000) if unicodedata.decomposition(chr(c)) and unicodedata.decomposition(chr(c))[0] != "<"}
+        first |= {chr(c) for c in CODES if c >= 0xA0 and unicodedata.decomposition(chr(c)) and unicodedata.decomposition(chr(c))[0] != "<"}
         self.cluster = re.compile(f"[{self._class(first)}][{follow}]*|[^{follow}][{follow}]+|[{follow}]+", re.S)
         self.known: dict[str, str] = {}
         back = lambda pair: {ord(b): a for a, b in reversed(list(zip(*pair)))}
@@ -149,7 +154,7 @@ def lookalike_pairs(rows: DataFrame, salts: int = 16) -> DataFrame:
     Only forms that a text differs from can have two texts, so the rest leaves early. Pairs are formed between the
     distinct texts of a form and then given their records, once on either side; hot texts are spread over salts.
     """
-    formed = rows.where(F.col("text").rlike(r"(?U)\S")).withColumn("form", consistent_form(F.col("text")))
+    formed = rows.select("field", "key", "text").where(F.col("key").isNotNull() & F.col("text").rlike(r"(?U)\S")).withColumn("form", consistent_form(F.col("text")))
     formed = formed.where("form <> ''")
     dirty = formed.where("text <> form").select("field", "form").distinct()
     records = formed.join(dirty, ["field", "form"], "left_semi")

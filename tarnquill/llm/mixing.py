@@ -10,7 +10,8 @@ blocks by a hash of pass and document. Whole blocks before the budget's end are
 (sources x blocks rows, a fixed number); only the one block in which the budget ends is put in order document by document.
 
 Defined results: documents without a source, or of one without a target, are no part of the mix; documents without
-tokens cost nothing and follow their block; a source without tokens gets no share and the others keep their proportion.
+tokens cost nothing and follow their block; a source without tokens gets no share and the others keep their proportion;
+a target without a number of repeats allows one; targets of null or 0 are left out.
 """
 
 from __future__ import annotations
@@ -86,17 +87,17 @@ def mix(counted: DataFrame, targets: DataFrame, size: float | None = None, block
     ``counted`` (doc_id, source, n_tokens) is read twice, so it should be a table or a checkpoint.
     """
     spark = counted.sparkSession
-    wanted = {r.source: (r.target_share, r.max_repeats) for r in targets.where("source is not null").collect()}
+    rows = targets.select("source", "target_share", "max_repeats").where("source is not null and target_share > 0").collect()
+    wanted = {r.source: (float(r.target_share), int(r.max_repeats or 1)) for r in rows}  # one row for each source
     in_mix = counted.where(F.col("source").isin(list(wanted)))
-    sizes = {r.source: float(r.n) for r in in_mix.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
+    sizes = {r.source: float(r.n or 0) for r in in_mix.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
     _, tokens = budgets(sizes, {s: t for s, (t, _) in wanted.items()}, {s: r for s, (_, r) in wanted.items()}, size)
     passes = [(s, p, b - p * sizes[s]) for s, b in tokens.items() for p in range(math.ceil(b / sizes[s] - 1e-9))]
     plan = F.broadcast(spark.createDataFrame(passes, "source string, pass int, room double"))  # sources x repeats rows
 
     order = F.xxhash64("pass", "doc_id")
     dealt = in_mix.join(plan, "source").withColumn("order", order).withColumn("block", F.pmod("order", F.lit(blocks)))
-    whole = F.col("room") >= F.lit(0)
-    block = dealt.where(whole).groupBy("source", "pass", "room", "block").agg(F.sum("n_tokens").alias("tokens"))
+    block = dealt.groupBy("source", "pass", "room", "block").agg(F.sum("n_tokens").alias("tokens"))
     running = Window.partitionBy("source", "pass").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("tokens").over(running), F.lit(0))
     cut = block.withColumn("before", before).where("before < room").select("source", "pass", "block", "before", "tokens")
@@ -119,6 +120,6 @@ def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
         F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.count("*").alias("documents"),
         F.sum("copies").alias("occurrences"), F.max("copies").alias("most_copies"),
     )
-    joined = targets.join(sums, "source", "left").na.fill(0, ["tokens", "documents", "occurrences", "most_copies"])
+    joined = targets.select("source", "target_share", "max_repeats").join(sums, "source", "left").na.fill(0, ["tokens", "documents", "occurrences", "most_copies"])
     total = F.sum("tokens").over(Window.partitionBy())  # one row per source
     return joined.withColumn("actual_share", F.try_divide("tokens", total))

@@ -21,7 +21,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
+from tarnquill.functions.assignment import least_cost
 from tarnquill.llm.lookalike import consistent_form
 from tarnquill.session import cut_lineage
 
@@ -30,6 +32,7 @@ STOP = frozenset("of for the and at in de la le les du des der die das von und y
 #: Letters that are often typed without their accents.
 ACCENTED = ("áàâäãåāéèêëēíìîïīóòôöõøōúùûüūýçñšž", "aaaaaaaeeeeeiiiiiooooooouuuuuycnsz")
 SHORTEST_CORRECTED = 5
+COMMONEST = 300
 LEAST_SHARE = 1 / 3  # of a form's words that a shorter form has to account for
 _WORDS = re.compile(r"[^\W\d_]+|\d+")
 _BRACKET = re.compile(r"\s*\(([^()\s]{2,10})\)\s*$")
@@ -83,43 +86,14 @@ def _worth(short: str, full: str) -> float:
 
 
 def assigned(few: list[str], many: list[str]) -> float:
-    """The greatest total worth of matching every word of ``few`` to its own word of ``many``; 0 if one finds none.
-
-    Shortest augmenting paths, word by word (Hungarian method); names have few words.
-    """
-    n, m = len(few), len(many)
-    if n > m:
+    """The greatest total worth of matching every word of ``few`` to its own word of ``many``; 0 if one finds none."""
+    if len(few) > len(many):
         return 0.0
-    cost = [[1.0 - _worth(a, b) for b in many] for a in few]
-    if any(min(row) >= 1.0 for row in cost):
+    worth = [[_worth(a, b) for b in many] for a in few]
+    if any(max(row) <= 0.0 for row in worth):
         return 0.0
-    u, v, owner, way = [0.0] * (n + 1), [0.0] * (m + 1), [0] * (m + 1), [0] * (m + 1)
-    for i in range(1, n + 1):
-        owner[0], at = i, 0
-        least, used = [float("inf")] * (m + 1), [False] * (m + 1)
-        while True:
-            used[at] = True
-            row, delta, following = owner[at], float("inf"), 0
-            for j in range(1, m + 1):
-                if not used[j]:
-                    reduced = cost[row - 1][j - 1] - u[row] - v[j]
-                    if reduced < least[j]:
-                        least[j], way[j] = reduced, at
-                    if least[j] < delta:
-                        delta, following = least[j], j
-            for j in range(m + 1):
-                if used[j]:
-                    u[owner[j]] += delta
-                    v[j] -= delta
-                else:
-                    least[j] -= delta
-            at = following
-            if not owner[at]:
-                break
-        while at:
-            owner[at], at = owner[way[at]], way[at]
-    worths = [1.0 - cost[owner[j] - 1][j - 1] for j in range(1, m + 1) if owner[j]]
-    return sum(worths) if min(worths) > 0 else 0.0
+    chosen = [row[j] for row, j in zip(worth, least_cost([[1.0 - w for w in row] for row in worth]))]
+    return sum(chosen) if min(chosen) > 0 else 0.0
 
 
 def grouped(key: str, forms: list[tuple[list[str], int]]) -> list[int]:
@@ -172,6 +146,22 @@ def readings(vocabulary: DataFrame) -> DataFrame:
     return near.where((edits <= 1) | swapped).groupBy("word").agg(F.max_by("reading", F.struct("m", "reading")).alias("reading"))
 
 
+def _shortened(spread: DataFrame) -> DataFrame:
+    """Adds whether a word (word, names) may abbreviate one of the commonest words, so that it is no block of its own.
+
+    The commonest words are a fixed number, whatever the names; they only steer the choice of blocks.
+    """
+    common: dict[str, list[str]] = {}
+    for r in spread.where(F.length("word") >= 3).orderBy(F.desc("names"), "word").limit(COMMONEST).collect():
+        common.setdefault(r.word[0], []).append(r.word)
+
+    @F.pandas_udf(BooleanType())
+    def shortened(words: pd.Series) -> pd.Series:
+        return words.map(lambda w: len(w) < 8 and any(abbreviates(w, c) for c in common.get(w[0], ()))).astype(bool)
+
+    return spread.withColumn("shortened", shortened("word"))
+
+
 def organisations(values: DataFrame) -> DataFrame:
     """(name, organisation) of every distinct value of ``values`` (name)."""
     names = values.where(F.trim("name") != "").groupBy("name").agg(F.count("*").alias("n"))
@@ -185,8 +175,8 @@ def organisations(values: DataFrame) -> DataFrame:
     vocabulary = each.groupBy("word").agg(F.sum("n").alias("n"))
     each = each.join(readings(vocabulary), "word", "left").select("name", "n", "pos", F.coalesce("reading", "word").alias("word"))
     each = cut_lineage(each)
-    spread = each.groupBy("word").agg(F.count("*").alias("names"))
-    rarest = F.min_by("word", F.struct(F.col("names"), -F.length("word"), F.col("word")))
+    spread = _shortened(each.groupBy("word").agg(F.count("*").alias("names")))
+    rarest = F.min_by("word", F.struct(F.col("shortened"), F.col("names"), -F.length("word"), F.col("word")))
     shaped = each.join(spread, "word").groupBy("name", "n").agg(
         F.array_sort(F.collect_list("word")).alias("words"), rarest.alias("key")
     )
