@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tarnquill.session import cut_lineage
+
 #: Letters of other alphabets, and the Latin letters they look like, in the same order.
 CYRILLIC = ("АВЕЅІЈКМНОРСТУХԜԚҮаеѕіјһоԛрсԁԝхуѵү", "ABESIJKMHOPCTYXWQYaesijhoqpcdwxyvy")
 GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονϳ", "ABEZHIKMNOPTYXovj")
@@ -142,6 +144,10 @@ def _forms(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield part.map(form, na_action="ignore")
 
 
+# kept from being evaluated again in every filter on its result
+_forms = _forms.asNondeterministic()
+
+
 def consistent_form(text: Column) -> Column:
     """The consistent form; printable ASCII with single blanks is its own form and isn't sent to Python."""
     plain = text.rlike(r"^(?:[!-~]+(?: [!-~]+)*+)?$")
@@ -157,7 +163,8 @@ def lookalike_pairs(rows: DataFrame, salts: int = 16) -> DataFrame:
     formed = rows.select("field", "key", "text").where(F.col("key").isNotNull() & F.col("text").rlike(r"(?U)\S")).withColumn("form", consistent_form(F.col("text")))
     formed = formed.where("form <> ''")
     dirty = formed.where("text <> form").select("field", "form").distinct()
-    records = formed.join(dirty, ["field", "form"], "left_semi")
+    # only records whose form some text differs from; kept, as four branches read them
+    records = cut_lineage(formed.join(dirty, ["field", "form"], "left_semi"))
     texts = records.select("field", "form", "text").distinct()
     pairs = texts.withColumnRenamed("text", "text_a").join(texts.withColumnRenamed("text", "text_b"), ["field", "form"])
     pairs = pairs.where("text_a < text_b").drop("form")
