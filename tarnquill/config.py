@@ -65,3 +65,34 @@ def indices(text: str) -> list[int]:
             raise ValueError(f"bad range {part!r}")
         out += numbers
     return out
+
+
+def frozen_sources(inventory: dict[str, dict[str, int]]) -> list[str]:
+    """Files whose size or time of change isn't that of the inventory {path: {"size": .., "mtime_ns": ..}}."""
+    changed = []
+    for path, stated in inventory.items():
+        file = Path(path)
+        if not file.is_file() or file.stat().st_size != stated["size"] or file.stat().st_mtime_ns != stated["mtime_ns"]:
+            changed.append(path)
+    return changed
+
+
+def stage_report(folder: str | Path) -> dict[str, dict]:
+    """The markers of completed stages below a folder."""
+    return {p.stem.removesuffix("_COMPLETE"): json.loads(p.read_text(encoding="utf-8")) for p in sorted(Path(folder).glob("*_COMPLETE.json"))}
+
+
+def inventory_problems(root: str | Path, manifest: dict[str, str]) -> dict[str, str]:
+    """What differs from a manifest {relative path: sha256}: unsafe, missing, changed, or unlisted files."""
+    root = Path(root).resolve()
+    problems = {}
+    for name, sha in manifest.items():
+        path = (root / name).resolve()
+        if not path.is_relative_to(root):
+            problems[name] = "unsafe"
+        elif not path.is_file():
+            problems[name] = "missing"
+        elif hashlib.sha256(path.read_bytes()).hexdigest() != sha:
+            problems[name] = "changed"
+    listed = {(root / n).resolve() for n in manifest}
+    return problems | {str(p.relative_to(root)): "unlisted" for p in root.rglob("*") if p.is_file() and p not in listed}

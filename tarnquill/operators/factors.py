@@ -160,3 +160,29 @@ def clusters(vectors: DataFrame, k: int, seed: int = 17) -> DataFrame:
             })
 
     return rows.select("vec_id", "embedding").mapInPandas(run, "vec_id bigint, cluster int, second int, margin double")
+
+
+def save_model(spark, h: np.ndarray, path: str) -> None:
+    """The topic matrix as a table (topic_id, col, weight) without zeros."""
+    cells = pd.DataFrame({"topic_id": np.nonzero(h)[0].astype(np.int32), "col": np.nonzero(h)[1].astype(np.int32), "weight": h[np.nonzero(h)]})
+    spark.createDataFrame(cells).write.mode("overwrite").parquet(path)
+
+
+def load_model(spark, path: str, shape: tuple[int, int]) -> np.ndarray:
+    h = np.zeros(shape)
+    cells = spark.read.parquet(path).toPandas()  # a model, bounded by MOST_CELLS
+    h[cells["topic_id"], cells["col"]] = cells["weight"]
+    return h
+
+
+def fit_grid(rows: DataFrame, n_terms: int, topic_numbers: list[int], seeds: list[int], **how: int) -> list[dict[str, float]]:
+    """The last relative error of each (topics, seed), and how well each seed's topics match the first seed's."""
+    out = []
+    for topics in topic_numbers:
+        first = None
+        for seed in seeds:
+            h, errors = fit(rows, n_terms, topics, seed=seed, **how)
+            first = h if first is None else first
+            cosine = float(np.mean([c for _, _, c in matched_components(first, h)]))
+            out.append({"topics": topics, "seed": seed, "relative_error": errors[-1], "cosine_to_first": cosine})
+    return out

@@ -45,3 +45,36 @@ def cell_safe(text: Column, limit: int = 32_000) -> Column:
     """Text that a spreadsheet shows instead of evaluating: control characters removed, formula starts quoted."""
     clean = F.left(F.regexp_replace(text, r"[\x00-\x08\x0B\x0C\x0E-\x1F]", ""), F.lit(limit))
     return F.when(clean.rlike(r"^[=+\-@]"), F.concat(F.lit("'"), clean)).otherwise(clean)
+
+
+def register_views(spark: SparkSession, folder: str, names: list[str]) -> None:
+    """The tables as views, for SQL at will."""
+    for name in names:
+        table(spark, folder, name).createOrReplaceTempView(name)
+
+
+def docx_paragraphs(spark: SparkSession, path: str) -> DataFrame:
+    """(path, pos, paragraph) of the DOCX files below a path; damaged files give no row."""
+    import io
+    import re
+    import zipfile
+    from xml.etree import ElementTree
+
+    import pandas as pd
+
+    word = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
+
+    def run(parts):
+        for part in parts:
+            for name, content in zip(part["path"], part["content"]):
+                try:
+                    root = ElementTree.fromstring(zipfile.ZipFile(io.BytesIO(content)).read("word/document.xml"))
+                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError):
+                    continue
+                texts = ["".join(t.text or "" for t in p.iter(f"{word}t")) for p in root.iter(f"{word}p")]
+                texts = [re.sub(r"\s+", " ", t).strip() for t in texts]
+                kept = [t for t in texts if t]
+                yield pd.DataFrame({"path": [name] * len(kept), "pos": range(1, len(kept) + 1), "paragraph": kept})
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.docx").load(path).select("path", "content")
+    return files.mapInPandas(run, "path string, pos int, paragraph string")
