@@ -53,3 +53,22 @@ QUERIES = {
     "p5_found": p5_found, "p5_identity_counts": p5_identity_counts,
     "p6_found": p6_found, "p6_sources": p6_sources, "p6_evidence": p6_evidence, "p6_spans": p6_spans,
 }
+
+_NODES = """
+WITH RECURSIVE texts AS (SELECT snapshot_id, CASE WHEN json_type(j) = 'VARCHAR' THEN j ->> '$' ELSE j END AS j
+    FROM (SELECT snapshot_id, CASE WHEN json_valid(raw_keywords) THEN raw_keywords END AS j FROM chosen) WHERE j IS NOT NULL),
+lists AS (SELECT snapshot_id, CASE json_type(j) WHEN 'ARRAY' THEN j::JSON WHEN 'OBJECT' THEN coalesce(j -> '$.keywords', j -> '$.data.keywords') END AS l
+    FROM (SELECT snapshot_id, CASE WHEN json_valid(j) THEN j END AS j FROM texts) WHERE j IS NOT NULL),
+nodes AS (
+    SELECT snapshot_id, i::VARCHAR AS node_path, '' AS parent_path, l -> (i - 1) AS node
+    FROM (SELECT snapshot_id, l, unnest(range(1, json_array_length(l)::BIGINT + 1)) AS i FROM lists WHERE json_type(l) = 'ARRAY')
+    UNION ALL
+    SELECT snapshot_id, concat(node_path, '.', i), node_path, CASE WHEN json_type(n) = 'ARRAY' THEN n -> (i - 1) ELSE n END
+    FROM (SELECT snapshot_id, node_path, n, unnest(range(1, CASE json_type(n) WHEN 'ARRAY' THEN json_array_length(n)::BIGINT WHEN 'OBJECT' THEN 1 ELSE 0 END + 1)) AS i
+          FROM (SELECT snapshot_id, node_path, node -> '$.narrower' AS n FROM nodes WHERE json_type(node) = 'OBJECT') WHERE n IS NOT NULL)),
+found AS (SELECT snapshot_id, node_path, parent_path, trim(node ->> '$.display_name') AS raw_name, node ->> '$.id' AS id FROM nodes
+    WHERE json_type(node) = 'OBJECT' AND json_type(node -> '$.display_name') = 'VARCHAR' AND trim(node ->> '$.display_name') <> ''),
+keywords AS (SELECT snapshot_id, node_path, parent_path, CASE WHEN trim(coalesce(id, '')) = '' THEN concat('label:', lower(raw_name)) ELSE id END AS keyword_id, raw_name FROM found)
+"""
+
+SQL = {"p6_found": _NODES + "SELECT * FROM keywords"}

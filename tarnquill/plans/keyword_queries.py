@@ -9,6 +9,7 @@ from tarnquill.functions.expressions import cascade
 from tarnquill.operators import keywords as K
 from tarnquill.operators.integrity import population_identity, reconcile_lists
 from tarnquill.operators.nested import keyword_nodes
+from tarnquill.plans.datasets import _NODES
 from tarnquill.sources import table
 
 
@@ -194,7 +195,7 @@ def lookup_document(spark: SparkSession, d: str, doc_id: str | None = None) -> D
     wanted = t.population.where(F.col("doc_id") == doc_id) if doc_id else t.population.where("row_id % 100 = 0")
     few = t.assigned.join(wanted.select("row_id"), "row_id", "left_semi")
     return few.join(t.related, "row_id", "left").select(
-        "doc_id", "classification_status", "quality_eligible", "topic_code", "has_direct_hit", "matched_codes"
+        "doc_id", "classification_status", "quality_eligible", "topic_code", F.coalesce("has_direct_hit", F.lit(False)).alias("has_direct_hit"), "matched_codes"
     )
 
 
@@ -282,7 +283,7 @@ SQL = {k: _BASE + v for k, v in {
     "feature_mask_renorm": """SELECT row_id, keyword_id, round(weight / sqrt(sum(weight * weight) OVER (PARTITION BY row_id)), 6) AS weight FROM unit
         WHERE keyword_id NOT IN (SELECT keyword_id FROM terms ORDER BY document_frequency DESC, keyword_id LIMIT 20)""",
     "unobserved_terms": "SELECT keyword_code, canonical_name, decision FROM keyword_dictionary ANTI JOIN coded USING (keyword_code)",
-    "lookup_document": """SELECT doc_id, classification_status, quality_eligible, topic_code, has_direct_hit, matched_codes
+    "lookup_document": """SELECT doc_id, classification_status, quality_eligible, topic_code, coalesce(has_direct_hit, false) AS has_direct_hit, matched_codes
         FROM assigned LEFT JOIN related USING (row_id) WHERE row_id % 100 = 0""",
     "stratified_context_queue": """, tied AS (SELECT c.row_id, c.keyword_code, coalesce(bool_or(a.keyword_code IS NOT NULL AND a.keyword_code <> c.keyword_code
             AND (len(c.families) = 0 OR list_contains(c.families, a.topic_code))), false) AS compatible
@@ -290,6 +291,7 @@ SQL = {k: _BASE + v for k, v in {
         SELECT keyword_code, compatible, doc_id, r::INT AS sample_rank FROM (SELECT *, row_number() OVER (PARTITION BY keyword_code, compatible
             ORDER BY md5(concat(doc_id, keyword_code, 'tq-2')), doc_id) AS r FROM tied JOIN population USING (row_id)) WHERE r <= CASE WHEN compatible THEN 2 ELSE 1 END""",
 }.items()} | {
+    "keyword_parse_json": _NODES + "SELECT snapshot_id, count(*) AS keywords, count(DISTINCT keyword_id) AS distinct_keywords FROM keywords GROUP BY snapshot_id",
     "alias_counts": """SELECT keyword_id, trim(raw_name) AS raw_name, sum(occurrences)::BIGINT AS occurrences FROM alias_fragments
         WHERE trim(keyword_id) <> '' AND trim(raw_name) <> '' GROUP BY ALL""",
     "preferred_alias": """SELECT keyword_id, raw_name, occurrences FROM (SELECT *, row_number() OVER (PARTITION BY keyword_id ORDER BY occurrences DESC, raw_name) AS r FROM
