@@ -13,6 +13,7 @@ from tarnquill.llm.term_counts import marked, term_frequencies, updated_frequenc
 from tarnquill.llm.tokens import token_counts, token_ids
 from tarnquill.llm.variants import organisations, variant_pairs
 from tarnquill.operators.packed import institution_values
+from tarnquill.plans.datasets import _NODES
 from tarnquill.session import cut_lineage
 from tarnquill.sources import table
 
@@ -138,7 +139,15 @@ SQL = {
     "p3_dictionary": """
 WITH ids AS (SELECT DISTINCT keyword_code, unnest(string_split(source_keyword_ids, ' | ')) AS keyword_id FROM keyword_aliases),
      fresh AS (SELECT keyword_code, count(DISTINCT row_id) AS n FROM ids JOIN observations USING (keyword_id) GROUP BY keyword_code)
-SELECT keyword_code, canonical_name, document_frequency AS stale_frequency, coalesce(n, 0) AS document_frequency,
+SELECT keyword_code, canonical_name, coalesce(document_frequency, -1) AS stale_frequency, coalesce(n, 0) AS document_frequency,
        document_frequency IS DISTINCT FROM coalesce(n, 0) AS changed
 FROM keyword_dictionary LEFT JOIN fresh USING (keyword_code)""",
+    "p4_found": _NODES + """, r AS (SELECT upper(regexp_extract(work_id, '(?i)(W[0-9]+)(?:[^0-9]|$)', 1)) AS work_id, snapshot_id,
+        snapshot_id IN (SELECT snapshot_id FROM keywords) OR regexp_matches(coalesce(keywords, ''), '[^;\\s]') AS has_keywords, trim(raw_updated_date) AS s,
+        regexp_extract(regexp_replace(replace(trim(source_file), chr(92), '/'), '^(\\./)+', ''), '^([^/]+/[^/]+)/', 1) AS folder FROM chosen),
+    m AS (SELECT *, CASE WHEN regexp_matches(s, '^[0-9]{9,10}$') THEN to_timestamp(s::BIGINT) AT TIME ZONE 'UTC' ELSE coalesce(try_strptime(s, '%Y%m%d'), try_strptime(s, '%d %b %Y'), try_strptime(s, '%Y/%m/%d'),
+            CASE WHEN regexp_matches(s, '[0-9]T[0-9:]+(Z|[+-][0-9:]+)$') THEN try_cast(s AS TIMESTAMPTZ) AT TIME ZONE 'UTC' ELSE try_cast(s AS TIMESTAMP) END) END AS moment FROM r WHERE work_id <> ''),
+    o AS (SELECT work_id, snapshot_id, count(*) OVER (PARTITION BY work_id) AS n, row_number() OVER (PARTITION BY work_id ORDER BY has_keywords DESC, moment DESC NULLS LAST,
+            coalesce(trust_rank, 999) , snapshot_id) AS k FROM m LEFT JOIN source_trust USING (folder))
+    SELECT work_id, snapshot_id FROM o WHERE k = 1 AND n >= 2""",
 }

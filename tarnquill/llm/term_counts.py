@@ -104,13 +104,13 @@ def marked(counts: DataFrame, n_papers: Column, rarest: int = 10, commonest: flo
 
 
 def updated_frequencies(observations: DataFrame, dictionary: DataFrame, aliases: DataFrame) -> DataFrame:
-    """The dictionary with the number of papers that hold any of a keyword's identifiers."""
+    """The dictionary with the number of papers that hold any of a keyword's identifiers; -1 stands for no stale count."""
     ids = aliases.select("keyword_code", F.explode(F.split("source_keyword_ids", r" \| ")).alias("keyword_id")).distinct()
     coded = observations.select("keyword_id", "row_id").join(ids, "keyword_id")
     counts = term_frequencies(coded, F.col("keyword_code"), F.col("row_id"))
     joined = dictionary.join(counts.withColumnRenamed("term", "keyword_code"), "keyword_code", "left")
     fresh = F.coalesce("n_records", F.lit(0))
     return joined.select(
-        "keyword_code", "canonical_name", F.col("document_frequency").alias("stale_frequency"),
+        "keyword_code", "canonical_name", F.coalesce("document_frequency", F.lit(-1)).alias("stale_frequency"),
         fresh.alias("document_frequency"), (~F.col("document_frequency").eqNullSafe(fresh)).alias("changed"),
     )
