@@ -71,4 +71,20 @@ found AS (SELECT snapshot_id, node_path, parent_path, trim(node ->> '$.display_n
 keywords AS (SELECT snapshot_id, node_path, parent_path, CASE WHEN trim(coalesce(id, '')) = '' THEN concat('label:', lower(raw_name)) ELSE id END AS keyword_id, raw_name FROM found)
 """
 
-SQL = {"p6_found": _NODES + "SELECT * FROM keywords"}
+# a plainer reading than the operator's, with the separators of these tables
+_PACKED = r"""
+WITH f AS (SELECT 'institutions' AS field, meta_id::VARCHAR AS record_key, trim(institutions, E' \t\r\n') AS t, false AS codes FROM recent_metadata
+    UNION ALL SELECT 'conditional_anchor_topics', keyword_code, trim(conditional_anchor_topics, E' \t\r\n'), true FROM keyword_dictionary
+    UNION ALL SELECT 'raw_names', keyword_code, trim(raw_names, E' \t\r\n'), false FROM keyword_aliases),
+g AS (SELECT * FROM f WHERE t IS NOT NULL AND lower(t) NOT IN ('', 'none', 'nan', '[]')),
+p AS (SELECT field, record_key, t LIKE '[%]' AS is_list, CASE
+    WHEN t LIKE '[%]' THEN from_json(CASE WHEN t LIKE '[''%' THEN replace(t, '''', '"') ELSE t END, '["VARCHAR"]')
+    WHEN codes THEN regexp_extract_all(t, '[A-Za-z0-9-]+')
+    WHEN regexp_matches(t, '"\s*,|,\s*"') THEN regexp_extract_all(t, '\s*"(?:[^"]|"")*"|(?:\\.|[^;；|\n\r\t,])+')
+    ELSE regexp_extract_all(replace(t, ' / ', ';'), '\s*"(?:[^"]|"")*"|(?:\\.|[^;；|\n\r\t])+') END AS v FROM g),
+q AS (SELECT field, record_key, list_filter(list_transform(v, lambda x: CASE WHEN is_list THEN trim(x) WHEN trim(x, E' \t\r\n') LIKE '"%"'
+    THEN replace(trim(x, E' \t\r\n')[2:-2], '""', '"') ELSE replace(trim(x, E' \t\r\n'), '\;', ';') END), lambda x: trim(x) <> '') AS v FROM p)
+SELECT field, record_key, generate_subscripts(v, 1)::INT AS pos, unnest(v) AS value FROM q
+"""
+
+SQL = {"p5_found": _PACKED, "p6_found": _NODES + "SELECT * FROM keywords"}
