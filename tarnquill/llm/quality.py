@@ -91,12 +91,12 @@ def text_statistics(text: str) -> list[float]:
     words, n_lines, lengths = max(len(tokens), 1), max(len(lines), 1), [len(x) for x in tokens]
     han = many["h"] + many["H"]
     units = max(len(tokens) + han / 2, 1.0)
-    common = sum(w in _COMMON_SET for w in _LETTERS.findall(low))
+    common = sum(map(_COMMON_SET.__contains__, _LETTERS.findall(low)))
     shape = dict.fromkeys(("sentence", "bullet", "leader", "cell", "pair", "number"), 0)
     ended = 0
     for line in lines:
         size = len(line)
-        if size >= 40 and any(w in _COMMON_SET for w in _LETTERS.findall(line.lower())) or (
+        if size >= 40 and any(m.group() in _COMMON_SET for m in _LETTERS.finditer(line.lower())) or (
             size >= 12 and sum(c in COMMON_HAN or c in "，。" for c in line) >= 2
         ):
             shape["sentence"] += size
@@ -120,7 +120,7 @@ def text_statistics(text: str) -> list[float]:
         many["v"] / spelled if spelled else 0.4, han / chars, (common + many["H"] / 2) / units,
         shape["sentence"] / whole, shape["bullet"] / whole, shape["leader"] / whole, shape["cell"] / whole,
         shape["pair"] / whole, shape["number"] / whole, ended / n_lines, len(_STOPS.findall(text)) / units,
-        len(_SEPARATORS.findall(text)) / units, sum(bool(_NUMERIC.match(t)) for t in tokens) / words,
+        len(_SEPARATORS.findall(text)) / units, sum(1 for t in tokens if (t[0].isdigit() or t[0] in "-+([") and _NUMERIC.match(t)) / words,
         len(set(tokens)) / words, len(set(lines)) / n_lines, 1 - len(set(pieces)) / max(len(pieces), 1),
         len(text) / max(len(pieces), 1),
     ]
