@@ -188,7 +188,10 @@ def organisations(values: DataFrame) -> DataFrame:
         lead = [" ".join(part["words"][i]) for i in homes]
         return pd.DataFrame({"key": part["key"], "words": part["words"], "organisation": lead})
 
-    # a block holds the forms of one rare word, not its names or rows
+    # a block holds the forms of one rare word, not its names or rows; blocks are small but costly, so they are spread by
+    # number and not by size
+    context = values.sparkSession.sparkContext
+    forms = forms.repartition(max(context.defaultParallelism * 4, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "key")
     homes = forms.groupBy("key").applyInPandas(block, "key string, words array<string>, organisation string")
     full = shaped.join(homes, ["key", "words"]).select("name", F.concat_ws("\t", "key", "organisation").alias("organisation"))
 
