@@ -89,7 +89,7 @@ def mix(counted: DataFrame, targets: DataFrame, size: float | None = None, block
     spark = counted.sparkSession
     rows = targets.select("source", "target_share", "max_repeats").where("source is not null and target_share > 0").collect()
     wanted = {r.source: (float(r.target_share), int(r.max_repeats or 1)) for r in rows}  # one row for each source
-    in_mix = counted.where(F.col("source").isin(list(wanted)))
+    in_mix = counted.select("doc_id", "source", "n_tokens").where(F.col("source").isin(list(wanted)))
     sizes = {r.source: float(r.n or 0) for r in in_mix.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
     _, tokens = budgets(sizes, {s: t for s, (t, _) in wanted.items()}, {s: r for s, (_, r) in wanted.items()}, size)
     passes = [(s, p, b - p * sizes[s]) for s, b in tokens.items() for p in range(math.ceil(b / sizes[s] - 1e-9))]

@@ -12,7 +12,7 @@ SCHEMA = "source string, target_share double, max_repeats int, tokens string"
 def counted(spark):
     rows = [(i, "a", 50 + i % 7) for i in range(4000)] + [(i, "b", 40 + i % 11) for i in range(4000, 4800)] + [(i, "c", 60) for i in range(5000, 5500)]
     rows += [(9001, None, 10), (9002, "other", 10), (9003, "a", 0)]
-    return spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, source string, n_tokens bigint, block int")
+    return spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "doc_id bigint, source string, n_tokens bigint, block int, pass int, room int")
 
 
 def test_shares_and_repeats(spark, counted):
