@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnquill.llm.lookalike import consistent_form, lookalike_pairs
+from tarnquill.llm.lookalike import ARMENIAN, CYRILLIC, GREEK, OTHER, consistent_form, lookalike_pairs
 from tarnquill.llm.mixing import mix, shares
 from tarnquill.llm.quality import kinds
 from tarnquill.llm.survivors import elect, prepared
@@ -117,6 +119,21 @@ def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
     return _kinds(spark, d)
 
 
+def _lookalike_sql() -> str:
+    """Pairs by a plainer form: translation of single characters, composition, one kind of blank."""
+    pairs = [*zip(*CYRILLIC), *zip(*GREEK), *zip(*ARMENIAN), *zip(*OTHER), *((chr(0xFF00 + i), chr(0x20 + i)) for i in range(1, 95))]
+    pairs += [(chr(c), unicodedata.normalize("NFKC", chr(c))) for c in range(0x2F00, 0x2FD6)]
+    quoted = lambda i: "".join(p[i] for p in pairs).replace("'", "''")
+    form = f"translate(t, '{quoted(0)}', '{quoted(1)}')"
+    for ligature in "ﬀﬁﬂﬃﬄﬅﬆ":
+        form = f"replace({form}, '{ligature}', '{unicodedata.normalize('NFKC', ligature)}')"
+    form = f"regexp_replace({form}, '[\\x{{AD}}\\x{{34F}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}-\\x{{2064}}\\x{{FEFF}}]', '', 'g')"
+    form = f"trim(regexp_replace(nfc_normalize({form}), '[\\s\\x{{A0}}\\x{{2000}}-\\x{{200A}}\\x{{202F}}\\x{{3000}}]+', ' ', 'g'))"
+    return f"""WITH r AS (SELECT 'title' AS field, doc_id AS k, title AS t FROM population UNION ALL SELECT 'raw_name', keyword_id, raw_name FROM vocab
+        UNION ALL SELECT 'normalized_name', keyword_id, normalized_name FROM vocab), f AS (SELECT field, k, t, {form} AS form FROM r WHERE t IS NOT NULL)
+        SELECT a.field, least(a.k, b.k) AS key_a, greatest(a.k, b.k) AS key_b FROM f a JOIN f b ON a.field = b.field AND a.form = b.form AND a.t < b.t WHERE a.form <> ''"""
+
+
 QUERIES = {
     "p1_found": p1_found, "p1_forms": p1_forms,
     "p2_found": p2_found, "p2_organisations": p2_organisations,
@@ -134,6 +151,7 @@ SELECT keyword_id, count(*) AS n_rows, count(DISTINCT row_id) AS n_records,
 FROM observations WHERE trim(keyword_id) <> '' GROUP BY keyword_id"""
 
 SQL = {
+    "p1_found": _lookalike_sql(),
     "p3_counts": _COUNTS,
     "p3_found": f"SELECT keyword_id, mark FROM ({_COUNTS}) WHERE mark IS NOT NULL",
     "p3_dictionary": """
