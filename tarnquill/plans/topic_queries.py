@@ -164,13 +164,30 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents", "doc_id", "text", "source")
 
 
+def bow_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """Every word and word pair of each document, in any script, with its count."""
+    return L.bag_of_words(_documents(spark, d), "doc_id", "source")
+
+
+def bow_counts_full(spark: SparkSession, d: str) -> DataFrame:
+    """Every word and word pair per source, in any script, with its count; documents without source under null."""
+    return L.bag_of_words(_documents(spark, d), "source")
+
+
+def ctfidf_top_words_full(spark: SparkSession, d: str) -> DataFrame:
+    """Each source's 20 heaviest terms, weighed over all terms in any script; documents without source are a class."""
+    top = L.top_terms(L.class_tfidf(bow_counts_full(spark, d), "source"), "source")
+    return top.select("source", "rank", "term", F.round("weight", 6).alias("weight"))
+
+
 def bow_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Words and word pairs per source with their counts."""
+    """ASCII words and word pairs per source with counts of 20 and more, as the SQL has them; no whole counts."""
     ascii_ = _documents(spark, d).where("source IS NOT NULL").withColumn("text", F.regexp_replace("text", "[^ -~\n。！？；]", " "))
     return L.bag_of_words(ascii_, "source").where("n >= 20")
 
 
 def ctfidf_top_words(spark: SparkSession, d: str) -> DataFrame:
+    """Weights over ASCII words, as the SQL has them; no whole counts."""
     ascii_ = _documents(spark, d).where("source IS NOT NULL").withColumn("text", F.regexp_replace("text", "[^ -~\n。！？；]", " "))
     top = L.top_terms(L.class_tfidf(L.bag_of_words(ascii_, "source"), "source"), "source")
     return top.select("source", "rank", F.round("weight", 6).alias("weight"))
@@ -342,6 +359,6 @@ SQL = {k: _M + s for k, s in {
 QUERIES = {f.__name__: f for f in (
     multilabel_edges, multilabel_lists, list_checks, hard_assign_margin, quality_by_topic, scope_apply, scope_reject_override,
     scope_sensitivity, threshold_metrics, lookup_threshold, topic_cards, cooccurrence_npmi, model_selection_rank,
-    selection_sensitivity, bow_counts, ctfidf_top_words, text_view_head_mid_tail, chunk_weights, source_weights, nmf_fit_infer,
+    selection_sensitivity, bow_counts, bow_counts_full, bow_matrix, ctfidf_top_words, ctfidf_top_words_full, text_view_head_mid_tail, chunk_weights, source_weights, nmf_fit_infer,
     nmf_error, component_matching, weighted_pca, kmeans_assign, review_validation, ledger_latest,
 )}
