@@ -19,6 +19,8 @@ from tarnquill.functions.assignment import least_cost
 
 EPS = float(np.finfo(np.float32).eps)
 MOST_CELLS = 64_000_000
+#: Epochs after which a fit ends that hasn't settled.
+MOST_EPOCHS = 60
 
 
 def sparse_rows(weights: DataFrame, index: DataFrame) -> DataFrame:
@@ -40,29 +42,48 @@ def solve(cols: np.ndarray, vals: np.ndarray, h: np.ndarray, gram: np.ndarray, s
     return w
 
 
-def fit(rows: DataFrame, n_terms: int, topics: int, epochs: int = 5, steps: int = 30, seed: int = 17) -> tuple[np.ndarray, list[float]]:
-    """(h, relative error before each update)."""
+def solve_rows(part: pd.DataFrame, h: np.ndarray, gram: np.ndarray, steps: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """``solve`` for pieces of a batch: (weights, numerators, row of each cell, its column, its value)."""
+    turned = np.ascontiguousarray(h.T)
+    for at in range(0, len(part), 1024):
+        cols, vals = ([np.asarray(x, kind) for x in part[name].iloc[at : at + 1024]] for name, kind in (("cols", int), ("vals", float)))
+        row = np.repeat(np.arange(len(cols)), [len(c) for c in cols])
+        col, val = np.concatenate(cols), np.concatenate(vals)
+        numerator = np.zeros((len(cols), len(h)))
+        np.add.at(numerator, row, turned[col] * val[:, None])
+        mass = np.maximum(np.bincount(row, val, len(cols)), 0.0)
+        w = np.repeat(np.sqrt(mass / h.shape[1] / len(h))[:, None], len(h), axis=1)
+        for _ in range(steps):
+            denominator = w @ gram
+            denominator[denominator == 0] = EPS
+            w = w * numerator / denominator
+        yield w, numerator, row, col, val
+
+
+def fit(
+    rows: DataFrame, n_terms: int, topics: int, epochs: int = 5, steps: int = 30, seed: int = 17, inner: int = 1, settle: float | None = None
+) -> tuple[np.ndarray, list[float]]:
+    """(h, relative error before each update). Each epoch makes ``inner`` updates of h from the sums of one pass. With
+    ``settle``, epochs go on until the error falls by no more than this share of it, and the last error is that of h."""
     if n_terms * topics > MOST_CELLS:
         raise ValueError("the topic matrix is too large for the driver")
     h = np.random.default_rng(seed).random((topics, n_terms)) / np.sqrt(topics)
     errors = []
-    for _ in range(epochs):
+    for epoch in range(epochs if settle is None else MOST_EPOCHS):
         shared = rows.sparkSession.sparkContext.broadcast(h)
 
         def run(parts: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             h = shared.value
             gram = h @ h.T
-            wx, ww, square, cross, fitted = np.zeros_like(h), np.zeros((len(h), len(h))), 0.0, 0.0, 0.0
+            wx, ww, square, cross, fitted = np.zeros(h.T.shape), np.zeros((len(h), len(h))), 0.0, 0.0, 0.0
             for part in parts:
-                for cols, vals in zip(part["cols"], part["vals"]):
-                    cols, vals = np.asarray(cols), np.asarray(vals, float)
-                    w = solve(cols, vals, h, gram, steps)
-                    wx[:, cols] += np.outer(w, vals)
-                    ww += np.outer(w, w)
-                    square += vals @ vals
-                    cross += w @ (h[:, cols] @ vals)
-                    fitted += w @ gram @ w
-            sums = [np.r_[square, cross, fitted]] + [np.r_[ww[k], wx[k]] for k in range(len(h))]
+                for w, numerator, row, col, val in solve_rows(part, h, gram, steps):
+                    np.add.at(wx, col, w[row] * val[:, None])
+                    ww += w.T @ w
+                    square += val @ val
+                    cross += (w * numerator).sum()
+                    fitted += ((w @ gram) * w).sum()
+            sums = [np.r_[square, cross, fitted]] + [np.r_[ww[k], wx[:, k]] for k in range(len(h))]
             yield pd.DataFrame({"k": range(-1, len(h)), "part": [x.tolist() for x in sums]})
 
         def add(part: pd.DataFrame) -> pd.DataFrame:
@@ -73,9 +94,12 @@ def fit(rows: DataFrame, n_terms: int, topics: int, epochs: int = 5, steps: int
         total = {r.k: np.array(r.part) for r in partial.groupBy("k").applyInPandas(add, kinds).collect()}  # one row per topic
         square, cross, fitted = total[-1]
         errors.append(float(np.sqrt(max(square - 2 * cross + fitted, 0.0) / max(square, 1e-30))))
+        if settle is not None and epoch + 1 >= max(epochs, 2) and errors[-2] - errors[-1] <= settle * errors[-2]:
+            break
         a = np.stack([total[k][topics:] for k in range(topics)])
-        b = np.stack([total[k][:topics] for k in range(topics)]) @ h
-        h = h * a / np.maximum(b, EPS)
+        b = np.stack([total[k][:topics] for k in range(topics)])
+        for _ in range(inner):
+            h = h * a / np.maximum(b @ h, EPS)
     return h, errors
 
 
@@ -87,7 +111,7 @@ def infer(rows: DataFrame, h: np.ndarray, steps: int = 60) -> DataFrame:
         h = shared.value
         gram, length = h @ h.T, np.linalg.norm(h, axis=1)
         for part in parts:
-            found = [solve(np.asarray(c), np.asarray(v, float), h, gram, steps) * length for c, v in zip(part["cols"], part["vals"])]
+            found = [(w * length).ravel() for w, *_ in solve_rows(part, h, gram, steps)]
             yield pd.DataFrame({
                 "row_id": np.repeat(part["row_id"].to_numpy(), len(h)), "topic_id": np.tile(np.arange(len(h), dtype=np.int32), len(part)),
                 "contribution": np.concatenate(found) if found else np.array([]),

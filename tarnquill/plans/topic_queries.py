@@ -22,6 +22,11 @@ from tarnquill.sources import table
 ANCHOR = "energy|power|solar|wind|energi|энерг|能|chaleur|calor"
 
 
+#: The fits of the queries: the operator's epochs and steps at least, several updates of the topics an epoch, until the
+#: relative error falls by less than a thousandth of itself.
+SETTLED = {"inner": 20, "settle": 1e-3}
+
+
 def _shares(t: _Tables) -> DataFrame:
     none = t.obs.select("row_id", "keyword_id").where("false")
     return M.topic_shares(K.candidate_hits(t.coded, t.rules, none))
@@ -216,7 +221,7 @@ def _features(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
 def nmf_fit_infer(spark: SparkSession, d: str) -> DataFrame:
     """Each record's hard topic, share and margin by a factorisation fitted on the same tables."""
     rows, n = _features(spark, d)
-    h, _ = N.fit(rows, n, 10, epochs=4, steps=20)
+    h, _ = N.fit(rows, n, 10, **SETTLED)
     found = N.infer(rows, h).withColumnRenamed("contribution", "mass")
     total = F.sum("mass").over(Window.partitionBy("row_id"))  # ten rows each
     return M.hard_assignment(found.withColumn("p", F.col("mass") / F.greatest(total, F.lit(1e-12))))
@@ -224,14 +229,14 @@ def nmf_fit_infer(spark: SparkSession, d: str) -> DataFrame:
 
 def nmf_error(spark: SparkSession, d: str) -> DataFrame:
     rows, n = _features(spark, d)
-    _, errors = N.fit(rows, n, 10, epochs=4, steps=20)
+    _, errors = N.fit(rows, n, 10, **SETTLED)
     return spark.createDataFrame([(i, float(e)) for i, e in enumerate(errors, 1)], "epoch int, relative_error double")
 
 
 def component_matching(spark: SparkSession, d: str) -> DataFrame:
     """Topics of two fits with different seeds, matched."""
     rows, n = _features(spark, d)
-    a, b = (N.fit(rows, n, 6, epochs=3, steps=15, seed=s)[0] for s in (17, 29))
+    a, b = (N.fit(rows, n, 6, seed=s, **SETTLED)[0] for s in (17, 29))
     return spark.createDataFrame(N.matched_components(a, b), "topic_id int, other_id int, cosine double")
 
 
