@@ -53,6 +53,13 @@ def _matrix(centres: DataFrame, group: str) -> tuple[list, np.ndarray]:
     return [r[0] for r in rows], np.array([r[1] for r in rows], float)
 
 
+def few(centres: DataFrame) -> DataFrame:
+    """Centres to be broadcast, if they are not too many."""
+    if centres.limit(MOST_CENTRES + 1).count() > MOST_CENTRES:
+        raise ValueError(f"more than {MOST_CENTRES} centres")
+    return F.broadcast(centres)
+
+
 def nearest_centroids(vectors: DataFrame, centres: DataFrame, n: int = 3, group: str = "label") -> DataFrame:
     """(vec_id, rank, topic_id, cosine) of the n nearest centres; equal cosines go to the lower topic. Centres are few
     (checked), so they go to every task and vectors stay where they are."""
@@ -187,7 +194,7 @@ def leave_one_out(vectors: DataFrame) -> DataFrame:
     """(vec_id, label, cosine) to the sum of the rest of the own cluster, in closed form; clusters of one give no row."""
     seen = vectors.where(usable(F.col("embedding"))).withColumn("embedding", unit(F.col("embedding")))
     sums = vector_sums(seen).where("n > 1").withColumn("square", dot(F.col("total"), F.col("total")))
-    joined = seen.join(F.broadcast(sums.limit(MOST_CENTRES)), "label").withColumn("vs", dot(F.col("embedding"), F.col("total")))
+    joined = seen.join(few(sums), "label").withColumn("vs", dot(F.col("embedding"), F.col("total")))
     return joined.select("vec_id", "label", ((F.col("vs") - 1) / F.sqrt(F.col("square") + 1 - 2 * F.col("vs"))).alias("cosine"))
 
 
@@ -203,11 +210,10 @@ def davies_bouldin(vectors: DataFrame) -> DataFrame:
     seen = vectors.where(usable(F.col("embedding")))
     means = vector_sums(seen).select("label", F.transform("total", lambda x: x / F.col("n")).alias("mean"))
     apart = lambda a, b: F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
-    few = F.broadcast(means.limit(MOST_CENTRES))
-    scatter = seen.join(few, "label").groupBy("label").agg(F.avg(apart(F.col("embedding"), F.col("mean"))).alias("s"))
+    scatter = seen.join(few(means), "label").groupBy("label").agg(F.avg(apart(F.col("embedding"), F.col("mean"))).alias("s"))
     c = means.join(scatter, "label")
     left, right = c.select(*(F.col(x).alias(f"{x}1") for x in c.columns)), c.select(*(F.col(x).alias(f"{x}2") for x in c.columns))
-    pairs = left.crossJoin(F.broadcast(right.limit(MOST_CENTRES))).where("label1 <> label2")  # centres, a bounded number
+    pairs = left.crossJoin(F.broadcast(right)).where("label1 <> label2")  # centres, checked above
     worst = pairs.groupBy("label1").agg(F.max((F.col("s1") + F.col("s2")) / apart(F.col("mean1"), F.col("mean2"))).alias("r"))
     return worst.agg(F.avg("r").alias("davies_bouldin"))
 
