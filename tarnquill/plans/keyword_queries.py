@@ -9,7 +9,7 @@ from tarnquill.functions.expressions import cascade
 from tarnquill.operators import keywords as K
 from tarnquill.operators.integrity import population_identity, reconcile_lists
 from tarnquill.operators.nested import keyword_nodes
-from tarnquill.plans.datasets import _NODES
+from tarnquill.plans.datasets import NODES
 from tarnquill.sources import table
 
 
@@ -296,7 +296,7 @@ SQL = {k: _BASE + v for k, v in {
         SELECT keyword_code, compatible, doc_id, r::INT AS sample_rank FROM (SELECT *, row_number() OVER (PARTITION BY keyword_code, compatible
             ORDER BY md5(concat(doc_id, keyword_code, 'tq-2')), doc_id) AS r FROM tied JOIN population USING (row_id)) WHERE r <= CASE WHEN compatible THEN 2 ELSE 1 END""",
 }.items()} | {
-    "keyword_parse_json": _NODES + "SELECT snapshot_id, count(*) AS keywords, count(DISTINCT keyword_id) AS distinct_keywords FROM keywords GROUP BY snapshot_id",
+    "keyword_parse_json": NODES + "SELECT snapshot_id, count(*) AS keywords, count(DISTINCT keyword_id) AS distinct_keywords FROM keywords GROUP BY snapshot_id",
     "alias_counts": """SELECT keyword_id, trim(raw_name) AS raw_name, sum(occurrences)::BIGINT AS occurrences FROM alias_fragments
         WHERE trim(keyword_id) <> '' AND trim(raw_name) <> '' GROUP BY ALL""",
     "preferred_alias": """SELECT keyword_id, raw_name, occurrences FROM (SELECT *, row_number() OVER (PARTITION BY keyword_id ORDER BY occurrences DESC, raw_name) AS r FROM

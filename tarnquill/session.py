@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,16 +28,29 @@ def build_session(app: str = "tarnquill", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names in spark.checkpoint.dir; a private one, deleted at exit, only in local mode without."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            named = tempfile.mkdtemp(prefix="tarnquill-checkpoint-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        context.setCheckpointDir(named)
+    return context.getCheckpointDir()
+
+
+def kept_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for a table that several plans read, below the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Checkpoint into the shared folder the session names; a private folder only where none is named.
+    """Checkpoint into the shared folder.
 
     checkpoint() writes replicated or shared files, so losing an executor loses nothing, unlike localCheckpoint.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tarnquill-checkpoint-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager)

@@ -1,6 +1,8 @@
 import json
 
-from tarnquill.operators.nested import emit_tagged, flat_table, has_keyword, keyword_nodes, visit, write_tables
+import pytest
+
+from tarnquill.operators.nested import deep_json, emit_tagged, opened, flat_table, has_keyword, keyword_nodes, visit, write_tables
 from tarnquill.operators.observations import parse_record, parsed_observations
 
 LEAF = {"id": "k3", "display_name": " c ", "narrower": {"id": "", "display_name": "D É"}}
@@ -33,6 +35,30 @@ def test_depth():
     assert len(_nodes(json.dumps([node]))) == 201 and has_keyword(json.dumps([node]))
 
 
+def test_any_depth():
+    deep = '[{"display_name":"x","narrower":' * 4_000 + "null" + "}]" * 4_000
+    assert len(_nodes(deep)) == 4_000
+    far = '[{"narrower":' * 100_000 + '[{"display_name":"end"}]' + "}]" * 100_000
+    rows = list(visit(far, frozenset({"keyword"})))
+    assert [r[3][1] for r in rows] == ["end"] and rows[0][1].count(".") == 100_000 and has_keyword(far)
+    assert not has_keyword(far[:-1]) and not has_keyword(far + "]") and opened("[" * 100_000 + "]" * 99_999) is None
+    assert opened('[{"a":' + "1" * 5_000 + "}]") == [{"a": float("1" * 5_000) if len("1" * 5_000) < 309 else float("inf")}]
+
+
+def test_parsers_agree():
+    texts = [json.dumps(TREE), "[1, -0.5e3, true, null, \"a\\u00e9\\n\"]", " {} ", "[]", '{"a": {"b": [[], {}]}, "a": 2}']
+    for text in texts:
+        assert deep_json(text) == json.loads(text)
+    for text in ("", "[1,]", "[1 2]", '{"a" 1}', '{"a":}', "{,}", "[01]", "[1]]", "nul", '{1:2}', '["a', "[NaN]", "[}", "{]", ",", '{"a":1,}', "١"):
+        with pytest.raises(ValueError):
+            deep_json(text)
+
+
+def test_wrapper_beside_nothing():
+    for text in ('{"keywords":null,"data":{"keywords":[{"display_name":"x"}]}}', '{"keywords":"","meta":{"tags":["a"]},"body":"{\\"keywords\\":[{\\"display_name\\":\\"x\\"}]}"}', '{"meta":[1,2],"data":{"list":[{"display_name":"x"}]}}'):
+        assert [row[3][1] for row in visit(text, frozenset({"keyword"}))] == ["x"], text
+
+
 def test_tables(spark, tmp_path):
     text = json.dumps(TREE)
     rows = [(1, text, "p"), (1, text, "p"), (2, None, "p"), (None, '[{"display_name":"\\ud800"}]', "p")]
