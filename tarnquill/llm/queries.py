@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from tarnquill.llm.lookalike import ARMENIAN, CYRILLIC, GREEK, OTHER, consistent_form, lookalike_pairs
 from tarnquill.llm.mixing import mix, shares
 from tarnquill.llm.quality import kinds
-from tarnquill.llm.survivors import elect, prepared
+from tarnquill.llm.survivors import elect, json_form, prepared, with_values
 from tarnquill.llm.term_counts import marked, term_frequencies, updated_frequencies
 from tarnquill.llm.tokens import token_counts, token_ids
 from tarnquill.llm.variants import organisations, variant_pairs
 from tarnquill.operators.packed import institution_values
-from tarnquill.plans.datasets import _NODES
+from tarnquill.plans.datasets import NODES
 from tarnquill.session import cut_lineage
 from tarnquill.sources import table
 
@@ -79,18 +79,21 @@ def _snapshots(spark: SparkSession, d: str) -> DataFrame:
     return prepared(table(spark, d, "chosen", *columns), table(spark, d, "source_trust"))
 
 
+def _elected(rows: DataFrame) -> DataFrame:
+    """Survivors, and the fields by votes, from the same long rows."""
+    return elect(rows, {
+        "raw_keywords": json_form(F.col("raw_keywords")), "raw_updated_date": F.date_format("moment", "yyyy-MM-dd"), "source_file": F.col("folder"),
+    })
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return elect(_snapshots(spark, d), {}).where("records >= 2").select("work_id", "snapshot_id")
+    return _elected(_snapshots(spark, d)).where("records >= 2").select("work_id", "snapshot_id")
 
 
 def p4_golden(spark: SparkSession, d: str) -> DataFrame:
     """One built record per work: the surviving snapshot, and each field by votes of all its records."""
-    voted = {
-        "raw_keywords": F.xxhash64("raw_keywords").cast("string"),
-        "raw_updated_date": F.date_format("moment", "yyyy-MM-dd"),
-        "source_file": F.col("folder"),
-    }
-    return elect(_snapshots(spark, d), voted)
+    chosen = table(spark, d, "chosen", "snapshot_id", "raw_keywords", "raw_updated_date", "source_file")
+    return with_values(_elected(_snapshots(spark, d)), chosen, ["raw_keywords", "raw_updated_date", "source_file"])
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -160,12 +163,22 @@ WITH ids AS (SELECT DISTINCT keyword_code, unnest(string_split(source_keyword_id
 SELECT keyword_code, canonical_name, coalesce(document_frequency, -1) AS stale_frequency, coalesce(n, 0) AS document_frequency,
        document_frequency IS DISTINCT FROM coalesce(n, 0) AS changed
 FROM keyword_dictionary LEFT JOIN fresh USING (keyword_code)""",
-    "p4_found": _NODES + """, r AS (SELECT upper(regexp_extract(work_id, '(?i)(W[0-9]+)(?:[^0-9]|$)', 1)) AS work_id, snapshot_id,
+    "p4_found": (_RECORDS := NODES + """, r AS (SELECT upper(regexp_extract(work_id, '(?i)(W[0-9]+)(?:[^0-9]|$)', 1)) AS work_id, snapshot_id,
         snapshot_id IN (SELECT snapshot_id FROM keywords) OR regexp_matches(coalesce(keywords, ''), '[^;\\s]') AS has_keywords, trim(raw_updated_date) AS s,
         regexp_extract(regexp_replace(replace(trim(source_file), chr(92), '/'), '^(\\./)+', ''), '^([^/]+/[^/]+)/', 1) AS folder FROM chosen),
     m AS (SELECT *, CASE WHEN regexp_matches(s, '^[0-9]{9,10}$') THEN to_timestamp(s::BIGINT) AT TIME ZONE 'UTC' ELSE coalesce(try_strptime(s, '%Y%m%d'), try_strptime(s, '%d %b %Y'), try_strptime(s, '%Y/%m/%d'),
             CASE WHEN regexp_matches(s, '[0-9]T[0-9:]+(Z|[+-][0-9:]+)$') THEN try_cast(s AS TIMESTAMPTZ) AT TIME ZONE 'UTC' ELSE try_cast(s AS TIMESTAMP) END) END AS moment FROM r WHERE work_id <> ''),
-    o AS (SELECT work_id, snapshot_id, count(*) OVER (PARTITION BY work_id) AS n, row_number() OVER (PARTITION BY work_id ORDER BY has_keywords DESC, moment DESC NULLS LAST,
+    o AS (SELECT *, count(*) OVER (PARTITION BY work_id) AS n, row_number() OVER (PARTITION BY work_id ORDER BY has_keywords DESC, moment DESC NULLS LAST,
             coalesce(trust_rank, 999) , snapshot_id) AS k FROM m LEFT JOIN source_trust USING (folder))
-    SELECT work_id, snapshot_id FROM o WHERE k = 1 AND n >= 2""",
+    """) + "SELECT work_id, snapshot_id FROM o WHERE k = 1 AND n >= 2",
+    "p4_golden": _RECORDS + """, x AS (SELECT *, least(greatest(0.0, (29220 - epoch_us(moment) / 86400000000::DOUBLE) / 365.0), 80.0) AS age FROM o),
+    v AS (SELECT *, CASE WHEN moment IS NULL THEN 1::HUGEINT ELSE (1::HUGEINT << (81 - ceil(age))::INT) END * round(4096 * CASE WHEN moment IS NULL THEN 1 ELSE pow(2, ceil(age) - age) END / (1 + coalesce(trust_rank, 99)))::HUGEINT AS vote FROM x),
+    l AS (SELECT work_id, k, vote, snapshot_id, unnest([{'f': 'k', 'v': form}, {'f': 'd', 'v': strftime(moment, '%Y-%m-%d')}, {'f': 's', 'v': folder}]) AS c
+        FROM v JOIN (SELECT snapshot_id, CASE WHEN trim(raw_keywords) = '' THEN NULL WHEN json_valid(raw_keywords) THEN json(raw_keywords)::VARCHAR ELSE trim(raw_keywords) END AS form FROM chosen) USING (snapshot_id)),
+    f AS (SELECT l.work_id, c.f AS f, sum(vote) AS votes, min(k) AS k, arg_min(snapshot_id, k) AS snapshot_id FROM l LEFT JOIN chosen USING (snapshot_id)
+        WHERE c.v IS NOT NULL AND CASE c.f WHEN 'd' THEN trim(raw_updated_date) <> '' WHEN 's' THEN trim(source_file) <> '' ELSE true END GROUP BY l.work_id, c.f, c.v),
+    w AS (SELECT work_id, f, snapshot_id FROM (SELECT *, row_number() OVER (PARTITION BY work_id, f ORDER BY votes DESC, k) AS r FROM f) WHERE r = 1),
+    p AS (SELECT w.work_id, max(raw_keywords) FILTER (WHERE f = 'k') AS raw_keywords, max(raw_updated_date) FILTER (WHERE f = 'd') AS raw_updated_date, max(source_file) FILTER (WHERE f = 's') AS source_file
+        FROM w JOIN chosen USING (snapshot_id) GROUP BY w.work_id)
+    SELECT o.work_id, n AS records, snapshot_id, raw_keywords, raw_updated_date, source_file FROM (SELECT work_id, n, snapshot_id FROM o WHERE k = 1) o LEFT JOIN p USING (work_id)""",
 }

@@ -1,18 +1,21 @@
 """One surviving record for each group of duplicates, chosen or built field by field.
 
 Fields are unpivoted to long rows. A value of a field collects votes: for each record that states it, the trust in the
-record's source times a decay by the record's age. The votes are summed by normalised value, the winner of each field is
-taken by ``max_by``, and the winners are pivoted back to one row per group. Fields that identify records (the surviving
-snapshot) are elected by precedence alone. Every step is a grouping with partial aggregation, so a group that holds a
-third of all rows is reduced before it moves; no group is collected.
+record's source times a decay by the record's age. The votes are summed by normalised value (its hash; texts don't move),
+the winner of each field is taken by ``max_by``, and the winners are pivoted back to one row per group. The surviving
+snapshot is a field among them: its votes are trust times recency as well, with so short a half-life that they follow the
+stated order (keywords, moment, trust). Every step is a grouping with partial aggregation, so a group that holds a third
+of all rows is reduced before it moves; no group is collected. ``with_values`` fetches the texts of the winners.
 
 Defined results: records without a group key belong to no group; null and blank values get no votes; a field nobody
-states is null; ties go to the record that precedes, last to the lowest snapshot.
+states is null; ties go to the record that stands higher, last to the lowest snapshot; a record that is there twice counts
+twice for its values and once for itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -24,6 +27,7 @@ from tarnquill.operators.nested import has_keyword
 #: Notations of moments after ISO 8601, tried in this order.
 NOTATIONS = ["d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy HH:mm:ss", "d.M.yyyy", "yyyyMMddHHmmss"]
 HALF_LIFE_DAYS = 365.0
+LATEST_DAY, OLDEST = 29_220, 80  # 2050-01-01, and how many half-lives before it are told apart
 
 
 def moment(text: Column) -> Column:
@@ -63,51 +67,78 @@ def prepared(chosen: DataFrame, trust: DataFrame) -> DataFrame:
         moment(F.col("raw_updated_date")).alias("moment"), F.regexp_extract(path, r"^([^/]+/[^/]+)/", 1).alias("folder"),
     ).where("work_id <> ''")
     ranks = trust.groupBy("folder").agg(F.min("trust_rank").alias("trust_rank"))
-    return rows.join(F.broadcast(ranks), "folder", "left")
+    return rows.join(ranks, "folder", "left")
 
 
-def _precedence() -> Column:
-    """What puts one record of a work before another, greatest first."""
-    return F.struct(
-        F.col("has_keywords").alias("a"), F.coalesce(F.unix_micros("moment"), F.lit(-(2**63))).alias("b"),
-        (-F.coalesce("trust_rank", F.lit(2**31 - 1))).alias("c"), (-F.col("snapshot_id")).alias("d"),
-    )
+def _standing() -> Column:
+    """The vote of a record for its own snapshot: trust times recency, on a logarithmic scale, with a half-life of one
+    microsecond, so that no trust outweighs a later moment; records with keywords vote a tier above the others."""
+    recency = F.coalesce(F.unix_micros("moment") + F.lit(2**60), F.lit(0)).cast("decimal(20,0)")
+    trust = (F.lit(2**31 - 1) - F.coalesce("trust_rank", F.lit(2**31 - 1))).cast("decimal(10,0)")
+    tier = F.col("has_keywords").cast("int").cast("decimal(1,0)")
+    return (tier * F.lit(Decimal(2**95)) + recency * F.lit(Decimal(2**32)) + trust).cast("decimal(38,0)")
 
 
-def _vote(half_life_days: float) -> Column:
-    age = (F.unix_micros("moment") / 86_400_000_000 - 20_000) / half_life_days
-    trust = 1 / (1 + F.coalesce(F.col("trust_rank"), F.lit(99)))
-    return trust * F.pow(F.lit(2.0), F.coalesce(age, F.lit(-40.0)))
+def _support(half_life_days: float) -> Column:
+    """The vote of a record for a value it states: trust times a decay by age, as a whole number. Age counts in half-lives
+    before 2050, ``OLDEST`` at most; undated records vote as one half-life older than that. Sums of whole numbers are
+    exact, so no vote is rounded away beside a greater one."""
+    lives = (F.lit(LATEST_DAY) - F.unix_micros("moment") / 86_400_000_000) / half_life_days
+    dated = F.when(lives.isNotNull(), F.least(F.greatest(F.lit(0.0), lives), F.lit(float(OLDEST))))
+    whole = F.ceil(dated)
+    step = F.coalesce(F.lit(OLDEST + 1) - whole, F.lit(0)).cast("int")
+    powers = F.array(*(F.lit(Decimal(2**k)).cast("decimal(25,0)") for k in range(OLDEST + 2)))
+    part = F.coalesce(F.pow(F.lit(2.0), whole - dated), F.lit(1.0))
+    trust = F.round(4096 * part / (1 + F.coalesce(F.col("trust_rank"), F.lit(99)))).cast("decimal(5,0)")
+    return (F.get(powers, step) * trust).cast("decimal(38,0)")
 
 
 def elect(
-    rows: DataFrame, voted: dict[str, Column], identity: str = "snapshot_id", half_life_days: float = HALF_LIFE_DAYS
+    rows: DataFrame, voted: dict[str, Column], identity: str = "snapshot_id", half_life_days: float = HALF_LIFE_DAYS, standing: Column | None = None
 ) -> DataFrame:
-    """One row per work: its number of records, the surviving ``identity`` and the winning value of each voted field.
+    """One row per work: its number of records, the surviving ``identity``, and of each voted field the record that states
+    the winning value (``field_snapshot``; null where nobody states one).
 
-    ``voted`` maps a field to its normalised form; equal forms add their votes, and the preceding record's notation wins.
+    ``voted`` maps a field to its normalised form; equal forms add their votes, and the record that stands highest speaks
+    for a form. The identity is a field of the same long rows, whose only voter is the record itself (``standing``); a
+    record that is there twice gains nothing by it.
     """
-    one = rows.select(
-        "work_id", _precedence().alias("precedence"), _vote(half_life_days).alias("vote"),
+    none, own = F.lit(None).cast("binary"), _standing() if standing is None else standing
+    one = rows.select("work_id", identity, own.alias("standing"), _support(half_life_days).alias("support"), *(
+        F.when(F.trim(f) != "", F.unhex(F.md5(form))).alias(f"form_{f}") for f, form in voted.items()
+    ))
+    long = one.select(
+        "work_id", F.struct("standing", (-F.col(identity)).alias("behind")).alias("record"),
         F.explode(F.array(
-            F.struct(F.lit(identity).alias("field"), F.col(identity).cast("string").alias("value"), F.lit(None).cast("string").alias("form")),
-            *(F.struct(F.lit(f).alias("field"), F.col(f).alias("value"), form.alias("form")) for f, form in voted.items()),
+            F.struct(F.lit(identity).alias("field"), F.coalesce(F.unhex(F.hex(identity)), F.lit(b"")).alias("form"), F.col("standing").alias("vote")),
+            *(F.struct(F.lit(f).alias("field"), F.col(f"form_{f}").alias("form"), F.col("support").alias("vote")) for f in voted),
         )).alias("cell"),
-    ).select("work_id", "precedence", "vote", "cell.*")
-    identities = one.where(F.col("field") == identity).groupBy("work_id", "field").agg(
-        F.count("*").alias("n"), F.max_by("value", "precedence").alias("value")
+    ).select("work_id", "record", "cell.*").where("form IS NOT NULL")
+    votes = long.groupBy("work_id", "field", "form").agg(
+        F.sum("vote").alias("all"), F.max("vote").alias("one"), F.max("record").alias("record"), F.count("*").alias("n")
     )
-    winners = identities
-    if voted:
-        votes = one.where((F.col("field") != identity) & (F.trim("value") != "")).groupBy("work_id", "field", "form").agg(
-            F.sum("vote").alias("votes"), F.max_by("value", "precedence").alias("value"), F.max("precedence").alias("precedence")
-        )
-        chosen = votes.groupBy("work_id", "field").agg(
-            F.lit(0).cast("bigint").alias("n"), F.max_by("value", F.struct(F.round("votes", 9), "precedence")).alias("value")
-        )
-        winners = identities.unionByName(chosen)
-    fields = [identity, *voted]
-    back = winners.groupBy("work_id").agg(
-        F.sum("n").alias("records"), *(F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields)
+    vote = F.when(F.col("field") == identity, F.col("one")).otherwise(F.col("all"))
+    winners = votes.groupBy("work_id", "field").agg(F.max_by("record", F.struct(vote, "record")).alias("record"), F.sum("n").alias("n"))
+    won = lambda f: F.max(F.when(F.col("field") == f, -F.col("record.behind")))
+    return winners.groupBy("work_id").agg(
+        F.max(F.when(F.col("field") == identity, F.col("n"))).alias("records"), won(identity).alias(identity),
+        *(won(f).alias(f"{f}_snapshot") for f in voted),
+    )
+
+
+def with_values(elected: DataFrame, rows: DataFrame, fields: list[str], identity: str = "snapshot_id") -> DataFrame:
+    """The elected works with the winning values: only the records that won are asked for their texts."""
+    asked = elected.select("work_id", "records", F.col(identity).alias("survivor"), F.explode(F.array(
+        *(F.struct(F.lit(f).alias("field"), F.col(f"{f}_snapshot").alias(identity)) for f in fields)
+    )).alias("cell")).select("work_id", "records", "survivor", "cell.*")
+    value = F.coalesce(*(F.when(F.col("field") == f, F.col(f)) for f in fields))
+    found = asked.join(rows.select(identity, *fields), identity, "left").select("work_id", "records", "survivor", "field", value.alias("value"))
+    return found.groupBy("work_id").agg(
+        F.max("records").alias("records"), F.max("survivor").alias(identity), *(F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields)
     )
-    return back.withColumn(identity, F.col(identity).cast("bigint"))
+
+
+def json_form(text: Column) -> Column:
+    """JSON in one notation (blanks, escapes and the order of names don't count); other text without outer blanks."""
+    whole = text.rlike(r"[\]}]\s*+$")
+    return F.coalesce(F.to_json(F.try_parse_json(F.when(whole, text))), F.trim(text))
