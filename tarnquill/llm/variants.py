@@ -1,11 +1,12 @@
 """Spellings of one organisation among names typed by people.
 
 Only distinct names are worked on. Their words are looked up in a symmetric-delete index (each word under itself and its
-spellings with one letter left out), which finds all words one edit or swap apart without comparing all with all; a rare
-word one edit from a more frequent one is read as that. Names whose readings are the same words in any order are one
-form. Forms are compared only within the block of their rarest word (a place, mostly). There the words of two forms are
-aligned by optimal assignment: equal words, words one edit apart, abbreviations and initials may match, at different
-worth. A form joins the fullest form that accounts for all its words. Names of one word join by their letters: initials
+spellings with one letter left out), which finds all words one edit or swap apart without comparing all with all; a word
+of few names that is mistyped from a more frequent one is read as that. Names whose readings are the same words in any
+order are one form. Forms are compared only within the blocks of their rarest words that abbreviate no commoner word (a
+place, mostly; further words if about as rare), split by first letters of two further words. There the words of two forms are aligned by optimal
+assignment: equal words, words with two letters swapped, abbreviations and initials may match, at different worth. A form joins the fullest form that
+accounts for all its words. Names of one word join by their letters: initials
 of an organisation's words, the last word giving up to three letters, a spelled-out definition in brackets first.
 
 Defined results: null and blank names name nothing; names without letters stand alone; names that differ in letter case
@@ -17,11 +18,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import DoubleType
 
 from tarnquill.functions.assignment import least_cost
 from tarnquill.llm.lookalike import consistent_form
@@ -31,8 +33,10 @@ from tarnquill.session import cut_lineage
 STOP = frozenset("of for the and at in de la le les du des der die das von und y et e & del di".split())
 #: Letters that are often typed without their accents.
 ACCENTED = ("áàâäãåāéèêëēíìîïīóòôöõøōúùûüūýçñšž", "aaaaaaaeeeeeiiiiiooooooouuuuuycnsz")
-SHORTEST_CORRECTED = 5
-COMMONEST = 300
+SHORTEST_CORRECTED = 4
+FEW_NAMES, CLEAR_RATIO = 3, 2
+#: A form opens blocks by its rarest words: this many at most, the further ones at most so many times as common as the first.
+MOST_KEYS, NEAR_RARE = 3, 10
 LEAST_SHARE = 1 / 3  # of a form's words that a shorter form has to account for
 _WORDS = re.compile(r"[^\W\d_]+|\d+")
 _BRACKET = re.compile(r"\s*\(([^()\s]{2,10})\)\s*$")
@@ -66,21 +70,16 @@ def abbreviates(short: str, full: str) -> bool:
     return len(short) >= 3 and all(c in rest for c in short)
 
 
-def one_edit(a: str, b: str) -> bool:
-    """Whether one letter inserted, left out, replaced, or two neighbours swapped make the one word the other."""
-    if abs(len(a) - len(b)) > 1 or min(len(a), len(b)) < 4:
-        return False
-    start = 0
-    while start < min(len(a), len(b)) and a[start] == b[start]:
-        start += 1
-    x, y = a[start:], b[start:]
-    return x[1:] == y[1:] or x[1:] == y or x == y[1:] or (x[:2] == y[1::-1] and x[2:] == y[2:])
+def swapped(a: str, b: str) -> bool:
+    """Whether two neighbouring letters change places between the words (centre, center)."""
+    differ = [i for i, (x, y) in enumerate(zip(a, b)) if x != y] if len(a) == len(b) >= 4 else []
+    return len(differ) == 2 and differ[1] == differ[0] + 1 and a[differ[0]] == b[differ[1]] and a[differ[1]] == b[differ[0]]
 
 
 def _worth(short: str, full: str) -> float:
     if short == full:
         return 1.0
-    if one_edit(short, full):
+    if swapped(short, full):
         return 0.9
     return 0.8 if abbreviates(short, full) or abbreviates(full, short) else 0.0
 
@@ -96,29 +95,6 @@ def assigned(few: list[str], many: list[str]) -> float:
     return sum(chosen) if min(chosen) > 0 else 0.0
 
 
-def grouped(key: str, forms: list[tuple[list[str], int]]) -> list[int]:
-    """For each form of the block of ``key`` the position of the form it belongs to."""
-    rest = [list(words) for words, _ in forms]
-    for words in rest:
-        if key in words:
-            words.remove(key)
-    order = sorted(range(len(forms)), key=lambda i: (-len(rest[i]), -sum(map(len, rest[i])), -forms[i][1], forms[i][0]))
-    out, cores = list(range(len(forms))), []
-    for i in order:
-        best, home = (0.0, 0), None
-        for core in cores:
-            if not rest[i]:
-                continue
-            share = assigned(rest[i], rest[core]) / len(rest[core])
-            if share >= LEAST_SHARE - 1e-9 and (share, forms[core][1]) > best:
-                best, home = (share, forms[core][1]), core
-        if home is None:
-            cores.append(i)
-        else:
-            out[i] = home
-    return out
-
-
 def _parse(names: DataFrame) -> DataFrame:
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -131,35 +107,115 @@ def _parse(names: DataFrame) -> DataFrame:
 
 
 def readings(vocabulary: DataFrame) -> DataFrame:
-    """(word, reading) of words (word, n) that are one edit, accents aside, from a more frequent word."""
-    long = vocabulary.where(F.length("word") >= SHORTEST_CORRECTED).withColumn("plain", F.translate("word", *ACCENTED))
+    """(word, reading) of words (word, n, names) that are a mistyped or accentless form of a more frequent word one edit
+    away. A word that occurs in more than ``FEW_NAMES`` names, or in more than a hundredth as many as the other, is a word
+    of its own; a replaced letter makes a typing error only of a word less than half as frequent, as two places that
+    differ in one letter are not rare. Abbreviations of words two letters longer and more are not corrected, nor corrected
+    to. Of several the nearest, then the most frequent counts."""
+    words = shortened(vocabulary, 2).where("NOT shortened").drop("shortened")
+    long = words.where(F.length("word") >= SHORTEST_CORRECTED).withColumn("plain", F.translate("word", *ACCENTED))
     without = F.expr("transform(sequence(1, length(plain)), i -> concat(left(plain, i - 1), substring(plain, i + 1)))")
-    index = long.select("word", "plain", "n", F.explode(F.array_distinct(F.array_append(without, F.col("plain")))).alias("key"))
-    other = index.select(F.col("word").alias("reading"), F.col("plain").alias("like"), F.col("n").alias("m"), "key")
+    index = long.select("word", "plain", "n", "names", F.explode(F.array_distinct(F.array_append(without, F.col("plain")))).alias("key"))
+    other = index.select(F.col("word").alias("reading"), F.col("plain").alias("like"), F.col("n").alias("m"), F.col("names").alias("in_names"), "key")
     near = index.join(other, "key").where(
-        (F.col("word") != F.col("reading"))
+        (F.col("word") != F.col("reading")) & (F.col("names") <= F.greatest(F.lit(FEW_NAMES), F.col("in_names") / 100))
         & ((F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("word") > F.col("reading"))))
     )
     edits = F.levenshtein("plain", "like")
     letters = lambda c: F.array_sort(F.split(c, ""))
-    swapped = (edits == 2) & (F.length("plain") == F.length("like")) & (letters("plain") == letters("like"))
-    return near.where((edits <= 1) | swapped).groupBy("word").agg(F.max_by("reading", F.struct("m", "reading")).alias("reading"))
+    same_length = F.length("plain") == F.length("like")
+    swapped = (edits == 2) & same_length & (letters("plain") == letters("like"))
+    replaced = (edits == 1) & same_length
+    typed = (replaced & (F.col("m") >= CLEAR_RATIO * F.col("n"))) | ((edits <= 1) & ~replaced) | swapped
+    return near.where(typed).groupBy("word").agg(F.max_by("reading", F.struct((edits == 0).alias("accent"), "m", "reading")).alias("reading"))
 
 
-def _shortened(spread: DataFrame) -> DataFrame:
-    """Adds whether a word (word, names) may abbreviate one of the commonest words, so that it is no block of its own.
+def shortened(spread: DataFrame, letters_less: int = 1) -> DataFrame:
+    """Adds whether a word (word, names) may abbreviate a word in twice as many names, so that it is no block of its own.
 
-    The commonest words are a fixed number, whatever the names; they only steer the choice of blocks.
+    The words are indexed by what they may be shortened to: their beginnings, and three or four of their letters in order
+    from the first. Each short form keeps the greatest number of names only, so nothing is compared with anything else.
+    """
+    letter = lambda at: F.substring("word", at, F.lit(1))
+    n = F.length("word")
+    upto = lambda low, high, make: F.when(high >= low, F.transform(F.sequence(low, high), make)).otherwise(F.array())
+    one = F.lit(1)
+    beginnings = upto(one, n - letters_less, lambda k: F.left("word", k))
+    three = F.flatten(upto(F.lit(2), n - 1, lambda i: upto(i + 1, n, lambda j: F.concat(letter(one), letter(i), letter(j)))))
+    four = F.flatten(upto(F.lit(2), n - 2, lambda i: F.flatten(upto(i + 1, n - 1, lambda j: upto(j + 1, n, lambda k: F.concat(
+        letter(one), letter(i), letter(j), letter(k)
+    ))))))
+    letters_only = spread.where(F.col("word").rlike(r"^\p{L}{2,40}$"))
+    short = F.filter(F.array_distinct(F.concat(beginnings, three, four)), lambda w: F.length(w) <= n - letters_less)
+    index = letters_only.select("names", F.explode(short).alias("short"))
+    index = index.groupBy(F.col("short").alias("word")).agg(F.max("names").alias("longer"))
+    found = F.coalesce(F.col("longer") >= 2 * F.col("names"), F.lit(False))
+    return spread.join(index, "word", "left").select(*spread.columns, found.alias("shortened"))
+
+
+def _candidates(forms: DataFrame) -> DataFrame:
+    """(id, full, share, n, place) of all pairs of forms (words, id, keys, n) of one block where the one accounts for a third
+    of the other's words. A form is in the blocks of its keys.
+
+    A block is split by the first letters of two further words: all words of the shorter form have to find their like,
+    which begins with the same letter, so the pair meets under the letters of the shorter form's two longest words.
     """
-    common: dict[str, list[str]] = {}
-    for r in spread.where(F.length("word") >= 3).orderBy(F.desc("names"), "word").limit(COMMONEST).collect():
-        common.setdefault(r.word[0], []).append(r.word)
+    forms = forms.select("words", "id", "n", F.explode("keys").alias("key"))
+    at = F.array_position("words", F.col("key")).cast("int")
+    rest = F.concat(F.slice("words", F.lit(1), at - 1), F.slice("words", at + 1, F.size("words")))
+    rows = forms.select("key", "id", "words", "n", rest.alias("rest")).where("size(rest) > 0")
+    total = F.aggregate("rest", F.lit(0), lambda s, w: s + F.length(w))
+    rows = rows.withColumn("place", F.struct((-F.size("rest")).alias("a"), (-total).alias("b"), (-F.col("n")).alias("c"), F.col("words").alias("d")))
+    first = lambda w: F.left(w, F.lit(1))
+    longest = F.transform(F.slice(F.array_sort(F.transform("rest", lambda w: F.struct((-F.length(w)).alias("k"), w.alias("w")))), 1, 2), lambda x: first(x["w"]))
+    asked = rows.select("key", F.col("id"), F.col("rest").alias("few"), F.col("place").alias("late"), F.array_join(F.array_sort(longest), "").alias("letters"))
+    all_letters = F.array_sort(F.transform("rest", first))
+    pairs = F.flatten(F.transform(all_letters, lambda x, i: F.transform(F.slice(all_letters, i + 2, F.size(all_letters)), lambda y: F.concat(x, y))))
+    offered = rows.select(
+        "key", F.col("id").alias("full"), F.col("rest").alias("many"), "n", "place", F.explode(F.array_distinct(F.concat(all_letters, pairs))).alias("letters")
+    )
+    met = asked.join(offered, ["key", "letters"]).where(
+        (F.size("few") <= F.size("many")) & (3 * F.size("few") >= F.size("many")) & (F.col("place") < F.col("late"))
+    ).select("id", "full", "few", "many", "n", "place")
+    # under whatever word a pair meets, that word counts as matched, so the share is the same
+    met = met.groupBy("id", "full").agg(F.min(F.struct("few", "many", "n", "place")).alias("m")).select("id", "full", "m.*")
+    return met.withColumn("share", _shares("few", "many")).where(F.col("share") >= LEAST_SHARE - 1e-9).select("id", "full", "share", "n", "place")
+
+
+@lru_cache(maxsize=200_000)
+def _share(few: tuple[str, ...], many: tuple[str, ...]) -> float:
+    return assigned(list(few), list(many)) / len(many)
+
 
-    @F.pandas_udf(BooleanType())
-    def shortened(words: pd.Series) -> pd.Series:
-        return words.map(lambda w: len(w) < 8 and any(abbreviates(w, c) for c in common.get(w[0], ()))).astype(bool)
+@F.pandas_udf(DoubleType())
+def _shares(few: pd.Series, many: pd.Series) -> pd.Series:
+    return pd.Series([_share(tuple(a), tuple(b)) for a, b in zip(few, many)], dtype=float)
 
-    return spread.withColumn("shortened", shortened("word"))
+
+def homes(forms: DataFrame) -> DataFrame:
+    """(id, home) of the forms that belong to a fuller one; the others are organisations of their own.
+
+    Going from the fullest form down, a form that no organisation accounts for is one itself. That order needs no single
+    task: a form is decided once all fuller candidates are, in as many rounds as candidates follow each other.
+    """
+    edges = cut_lineage(_candidates(forms))
+    decided = edges.select(F.col("full").alias("at")).distinct().join(edges.select(F.col("id").alias("at")).distinct(), "at", "left_anti")
+    decided = cut_lineage(decided.withColumn("core", F.lit(True)))
+    waiting = edges.select("id", "full")
+    while True:
+        seen = waiting.join(decided.withColumnRenamed("at", "full"), "full", "left")
+        told = seen.groupBy("id").agg(
+            F.coalesce(F.bool_or("core"), F.lit(False)).alias("found"), F.count_if(F.col("core").isNull()).alias("open")
+        )
+        fresh = cut_lineage(told.where("found OR open = 0").select(F.col("id").alias("at"), (~F.col("found")).alias("core")))
+        if not fresh.limit(1).count():
+            break
+        decided = decided.unionByName(fresh)
+        waiting = waiting.join(fresh.select(F.col("at").alias("id")), "id", "left_anti")
+    cores = edges.join(decided.where("core").select(F.col("at").alias("full")), "full", "left_semi")
+    return cores.join(decided.where("NOT core").select(F.col("at").alias("id")), "id", "left_semi").groupBy("id").agg(
+        F.min_by("full", F.struct(-F.col("share"), -F.col("n"), "place")).alias("home")
+    )
 
 
 def organisations(values: DataFrame) -> DataFrame:
@@ -172,28 +228,18 @@ def organisations(values: DataFrame) -> DataFrame:
     alone, read_words = read.where(letters), read.where(~letters)
 
     each = read_words.select("name", "n", F.posexplode("words").alias("pos", "word"))
-    vocabulary = each.groupBy("word").agg(F.sum("n").alias("n"))
+    vocabulary = cut_lineage(each.groupBy("word").agg(F.sum("n").alias("n"), F.countDistinct("name").alias("names")))
     each = each.join(readings(vocabulary), "word", "left").select("name", "n", "pos", F.coalesce("reading", "word").alias("word"))
     each = cut_lineage(each)
-    spread = _shortened(each.groupBy("word").agg(F.count("*").alias("names")))
-    rarest = F.min_by("word", F.struct(F.col("shortened"), F.col("names"), -F.length("word"), F.col("word")))
-    shaped = each.join(spread, "word").groupBy("name", "n").agg(
-        F.array_sort(F.collect_list("word")).alias("words"), rarest.alias("key")
-    )
-    forms = shaped.groupBy("key", "words").agg(F.sum("n").alias("n"))
-
-    def block(keys: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.reset_index(drop=True)
-        homes = grouped(keys[0], [(list(w), int(n)) for w, n in zip(part["words"], part["n"])])
-        lead = [" ".join(part["words"][i]) for i in homes]
-        return pd.DataFrame({"key": part["key"], "words": part["words"], "organisation": lead})
-
-    # a block holds the forms of one rare word, not its names or rows; blocks are small but costly, so they are spread by
-    # number and not by size
-    context = values.sparkSession.sparkContext
-    forms = forms.repartition(max(context.defaultParallelism * 4, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "key")
-    homes = forms.groupBy("key").applyInPandas(block, "key string, words array<string>, organisation string")
-    full = shaped.join(homes, ["key", "words"]).select("name", F.concat_ws("\t", "key", "organisation").alias("organisation"))
+    spread = shortened(each.groupBy("word").agg(F.count("*").alias("names")))
+    ranked = F.array_sort(F.collect_set(F.struct("shortened", "names", (-F.length("word")).alias("k"), "word")))
+    shaped = each.join(spread, "word").groupBy("name", "n").agg(F.array_sort(F.collect_list("word")).alias("words"), ranked.alias("ranked"))
+    rarest = F.get("ranked", F.lit(0))
+    keys = F.filter(F.slice("ranked", 1, MOST_KEYS), lambda w: (w["shortened"] == rarest["shortened"]) & (w["names"] <= NEAR_RARE * rarest["names"]))
+    shaped = cut_lineage(shaped.select("name", "n", "words", F.array_join("words", " ").alias("id"), F.transform(keys, lambda w: w["word"]).alias("keys")))
+    forms = shaped.groupBy("words", "id", "keys").agg(F.sum("n").alias("n"))
+    found = homes(forms)
+    full = shaped.join(found, "id", "left").select("name", F.coalesce("home", "id").alias("organisation"))
 
     hints = read.join(full, "name").select(
         "organisation", "n", F.explode(F.array_union(
@@ -209,10 +255,10 @@ def organisations(values: DataFrame) -> DataFrame:
     return full.unionByName(short)
 
 
-def variant_pairs(values: DataFrame) -> DataFrame:
-    """(name_a, name_b) of all pairs of each organisation's spellings."""
+def variant_pairs(values: DataFrame, salts: int = 8) -> DataFrame:
+    """(name_a, name_b) of all pairs of each organisation's spellings; spellings are spread over salts on one side."""
     found = cut_lineage(organisations(values))
-    other = found.select(F.col("name").alias("name_b"), "organisation")
-    return found.select(F.col("name").alias("name_a"), "organisation").join(other, "organisation").where(
-        "name_a < name_b"
-    ).select("name_a", "name_b")
+    spread = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    left = found.select(F.col("name").alias("name_a"), "organisation", F.pmod(F.xxhash64("name"), F.lit(salts)).cast("int").alias("salt"))
+    right = found.select(F.col("name").alias("name_b"), "organisation", spread)
+    return left.join(right, ["organisation", "salt"]).where("name_a < name_b").select("name_a", "name_b")
