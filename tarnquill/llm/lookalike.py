@@ -1,10 +1,12 @@
 """Visually identical text in one consistent form.
 
-A mapping of characters is compiled once: widths, presentation forms and radicals by their Unicode decompositions, white
-space to one blank, invisible characters to nothing, look-alike letters to one letter. Compilation fails on a conflict:
-a key with two results, or a result that the mapping would change again. The transducer runs over grapheme clusters (a
-character with the marks and invisible characters that follow it), takes the longest match, rewrites it by the compiled
-table, and composes accents; all in one pass. Letter case, accents, digits and punctuation stay different.
+A mapping is compiled once, by rules over the Unicode character data and lists of look-alike letters: widths, fonts,
+presentation forms and radicals by their decompositions, white space to one blank, invisible characters to nothing,
+look-alike letters and signs to one of them, and letters with their accents, in whatever notation, to one letter. Keys
+have one character or several (a letter with its marks). Compilation fails on a conflict: a key with two results, or a
+result that the mapping would change again. The transducer goes over a text once, word by word: characters are mapped, and
+over each grapheme cluster (a character with its marks) the longest key is taken; words once seen are kept. Letter case,
+accents, digits and punctuation stay different.
 
 A word that keeps a letter of another alphabet is written wholly in it (its Latin look-alikes become, say, Cyrillic); a
 word of look-alikes only is written in Latin. The form of a text depends on its look alone and is its own form.
@@ -28,10 +30,16 @@ from pyspark.sql.types import StringType
 from tarnquill.session import cut_lineage
 
 #: Letters of other alphabets, and the Latin letters they look like, in the same order.
-CYRILLIC = ("АВЕЅІЈКМНОРСТУХԜԚҮаеѕіјһоԛрсԁԝхуѵү", "ABESIJKMHOPCTYXWQYaesijhoqpcdwxyvy")
-GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονϳ", "ABEZHIKMNOPTYXovj")
+CYRILLIC = ("АВЕЅІЈКМНОРСТУХԜԚҮӀЅѴԌаеѕіјһоԛрсԁԝхуѵүӏ", "ABESIJKMHOPCTYXWQYlSVGaesijhoqpcdwxyvyl")
+GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹαγινορυϲϳ", "ABEZHIKMNOPTYXCayivopucj")
 ARMENIAN = ("ՕՍԼօսոհցզյ", "OULounhgqj")
-OTHER = ("ɡɑⅰⅴⅹⅼⅽⅾⅿⅠⅤⅩⅬⅭⅮⅯ‐‑µ", "gaivxlcdmIVXLCDM--μ")
+CHEROKEE = ("ᎠᎡᎢᎥᎩᎪᎫᎬᎳᎷᎻᎽᏀᏃᏏᏒᏔᏕᏙᏚᏞᏟᏢᏦᏧᏳᏴ", "DRTiyAJEWMHYGZbRWSVSLCPKdGB")
+LISU = ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU")
+#: Latin letters of other kinds, and dashes, points and strokes that look like a common sign.
+OTHER = (
+    "ɡɑıᴀʙᴄᴅᴇɢʜɪᴊᴋʟᴍɴᴏᴘʀꜱᴛᴜᴠᴡʏᴢµ‐‑−⁃˗∶․⁄∕∗∼∣ǀ∙⋅ʼ",
+    "gaiABcDEGHIJKLMNoPRsTUvwYzμ-----:.//*~||··’",
+)
 #: Format characters that are seen.
 SEEN = set("؀؁؂؃؄؅۝܏࢐࢑࣢\U000110bd\U000110cd")
 INVISIBLE_MARKS = [0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180D, 0x3164, 0xFFA0, *range(0xFE00, 0xFE10)]
@@ -40,6 +48,7 @@ JOINING = "؀-ࣿऀ-෿က-႟ក-៿\U0001f000-\U0001faff️♀♂❤"
 
 #: Planes that hold letters, marks and format characters.
 CODES = [*range(0x20000), *range(0x2F800, 0x2FA20), *range(0xE0000, 0xE0200)]
+MOST_KEPT, LONGEST_KEPT = 200_000, 64
 
 
 class Conflict(ValueError):
@@ -47,7 +56,7 @@ class Conflict(ValueError):
 
 
 def _entries() -> Iterator[tuple[str, str]]:
-    for letters, latin in (CYRILLIC, GREEK, ARMENIAN, OTHER):
+    for letters, latin in (CYRILLIC, GREEK, ARMENIAN, CHEROKEE, LISU, OTHER):
         yield from zip(letters, latin, strict=True)
     for code in CODES:
         char = chr(code)
@@ -56,80 +65,105 @@ def _entries() -> Iterator[tuple[str, str]]:
             yield char, " "
         elif kind == "Cf" and char not in SEEN or code in INVISIBLE_MARKS:
             yield char, ""
-        elif 0xF900 > code > 0x2E7F or 0xFB00 <= code <= 0xFB06 or 0xFF00 <= code <= 0xFFEF:
-            tag, _, rest = unicodedata.decomposition(char).partition(" ")
-            if tag in ("<wide>", "<narrow>") or tag == "<compat>" and (code < 0x2FE0 or code >= 0xFB00):
-                yield char, unicodedata.normalize("NFKC", char)
+        else:
+            tag, _, _ = unicodedata.decomposition(char).partition(" ")
+            compatible = tag == "<compat>" and (0x2160 <= code < 0x2180 or 0x2E80 <= code < 0x2FE0 or 0xFB00 <= code <= 0xFB06)
+            if tag in ("<wide>", "<narrow>", "<font>") or compatible:
+                yield char, unicodedata.normalize("NFKD", char)
 
 
 def compile_mapping(entries: Iterator[tuple[str, str]] | None = None) -> dict[str, str]:
-    """The mapping character to text, closed and free of conflicts."""
+    """The mapping of single characters, closed and free of conflicts; of a look-alike of a look-alike the last result."""
     table: dict[str, str] = {}
     for key, result in _entries() if entries is None else entries:
         if table.setdefault(key, result) != result:
             raise Conflict(f"{key!r} to {table[key]!r} and {result!r}")
-    for key, result in table.items():
-        if any(table.get(c, c) != c for c in result):
+    closed = {key: "".join(table.get(c, c) for c in result) for key, result in table.items()}
+    for key, result in closed.items():
+        if any(closed.get(c, c) != c for c in result):
             raise Conflict(f"{key!r} to {result!r}, which changes further")
-    return table
+    return closed
+
+
+def compile_clusters(table: dict[str, str]) -> dict[str, str]:
+    """The keys of several characters: every letter with its marks, as mapped characters, to the composed letter."""
+    keys: dict[str, str] = {}
+    for code in CODES:
+        parts = unicodedata.normalize("NFD", chr(code))
+        if len(parts) > 1 and not 0xAC00 <= code < 0xD7A4:  # syllables of Hangul are composed by rule
+            key = "".join(table.get(c, c) for c in parts)
+            result = unicodedata.normalize("NFC", key)
+            if len(result) < len(key) and keys.setdefault(key, result) != result:
+                raise Conflict(f"{key!r} to {keys[key]!r} and {result!r}")
+    return keys
 
 
 class Transducer:
     def __init__(self) -> None:
-        table = compile_mapping()
-        self.table = table
-        silent = {c for c, result in table.items() if not result}
-        marks = [chr(c) for c in CODES if unicodedata.category(chr(c)) in ("Mn", "Mc", "Me")]
-        self.silent = re.compile(f"(?:(?<![{JOINING}])[‌‍]|[{self._class(silent - {'‌', '‍'})}])+")
-        follow = self._class(set(marks) | silent)
-        # clusters that may change: of a mapped or decomposable character, of any character with marks, and lone silents
-        first = {c for c, result in table.items() if result}
-        first |= {chr(c) for c in CODES if c >= 0xA0 and unicodedata.decomposition(chr(c)) and unicodedata.decomposition(chr(c))[0] != "<"}
-        self.cluster = re.compile(f"[{self._class(first)}][{follow}]*|[^{follow}][{follow}]+|[{follow}]+", re.S)
-        self.known: dict[str, str] = {}
+        self.table = compile_mapping()
+        self.single = str.maketrans(self.table)
+        self.clusters = compile_clusters(self.table)
+        self.longest = max(map(len, self.clusters))
+        self.opening = {key[0] for key in self.clusters}
+        self.joiner = re.compile(f"(?<=[{JOINING}])[\u200c\u200d]")
+        self.hangul = re.compile("[\u1100-\u11ff\uac00-\ud7a3]")
+        self.run = re.compile(r"[^\W\d_]+")
         back = lambda pair: {ord(b): a for a, b in reversed(list(zip(*pair)))}
-        self.words = [
-            (re.compile(r"[^\W\d_]*[Ѐ-ԯ][^\W\d_]*"), back(CYRILLIC)),
-            (re.compile(r"[^\W\d_]*[Ͱ-Ͽ][^\W\d_]*"), back(GREEK)),
-            (re.compile(r"[^\W\d_]*[԰-֏][^\W\d_]*"), back(ARMENIAN)),
-        ]
-
-    @staticmethod
-    def _class(chars: set[str]) -> str:
-        """A character class as ranges."""
-        codes, parts = sorted(map(ord, chars)), []
-        for code in codes:
-            if parts and parts[-1][1] == code - 1:
-                parts[-1][1] = code
-            else:
-                parts.append([code, code])
-        return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in parts)
+        self.scripts = [
+            (re.compile("[Ѐ-ԯ]"), back(CYRILLIC)), (re.compile("[Ͱ-Ͽ]"), back(GREEK)), (re.compile("[԰-֏]"), back(ARMENIAN)),
+        ]
+        self.known: dict[str, str] = {}
 
-    def _rewrite(self, match: re.Match) -> str:
-        cluster = match.group()
-        form = self.known.get(cluster)
+    def _composed(self, text: str) -> str:
+        """The longest key at each place of the mapped characters."""
+        out, at, clusters, longest = [], 0, self.clusters, self.longest
+        while at < len(text):
+            if text[at] in self.opening:
+                for end in range(min(at + longest, len(text)), at + 1, -1):
+                    result = clusters.get(text[at:end])
+                    if result is not None:
+                        out.append(result)
+                        at = end
+                        break
+                else:
+                    out.append(text[at])
+                    at += 1
+            else:
+                out.append(text[at])
+                at += 1
+        return "".join(out)
+
+    def _script(self, match: re.Match) -> str:
+        run = match.group()
+        for letters, back in self.scripts:
+            if letters.search(run):
+                run = self._composed(unicodedata.normalize("NFD", unicodedata.normalize("NFD", run).translate(back)))
+                return unicodedata.normalize("NFC", run)
+        return run
+
+    def word(self, word: str) -> str:
+        """The form of a piece without blanks."""
+        form = self.known.get(word)
         if form is None:
-            table = self.table
-            plain = "".join(table.get(c, c) or (c if c in "‌‍" else "") for c in cluster)
-            parts = unicodedata.normalize("NFD", plain)
-            form = unicodedata.normalize("NFC", "".join(table.get(c, c) if c not in "‌‍" else c for c in parts))
-            if len(self.known) > 200_000:
-                self.known.clear()
-            self.known[cluster] = form
+            held = self.joiner.sub(lambda m: "\ufdd0" if m.group() == "\u200c" else "\ufdd1", word)
+            mapped = unicodedata.normalize("NFD", unicodedata.normalize("NFD", held).translate(self.single))
+            form = self._composed(mapped).replace("\ufdd0", "\u200c").replace("\ufdd1", "\u200d")
+            if self.hangul.search(form):
+                form = unicodedata.normalize("NFC", form)
+            form = self.run.sub(self._script, form)
+            if len(word) <= LONGEST_KEPT:
+                if len(self.known) >= MOST_KEPT:
+                    self.known.clear()
+                self.known[word] = form
         return form
 
     def __call__(self, text: str | None) -> str | None:
         """The consistent form of a text."""
         if text is None:
             return None
-        out = self.cluster.sub(self._rewrite, self.silent.sub("", text))
-        out = " ".join(out.split(" ")) if "  " not in out else re.sub(" +", " ", out)
-        for words, back in self.words:
-            if words.search(out):
-                out = words.sub(
-                    lambda m, b=back: unicodedata.normalize("NFC", unicodedata.normalize("NFD", m.group()).translate(b)), out
-                )
-        return out.strip(" ")
+        word = self.word
+        pieces = [w if w.isascii() else word(w) for w in text.split()]
+        return " ".join(p for p in pieces if p)
 
 
 @lru_cache(maxsize=1)
@@ -144,13 +178,12 @@ def _forms(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield part.map(form, na_action="ignore")
 
 
-# kept from being evaluated again in every filter on its result
-_forms = _forms.asNondeterministic()
+PLAIN = r"^(?:[!-~]+(?: [!-~]+)*+)?$"  # printable ASCII with single blanks
 
 
 def consistent_form(text: Column) -> Column:
     """The consistent form; printable ASCII with single blanks is its own form and isn't sent to Python."""
-    plain = text.rlike(r"^(?:[!-~]+(?: [!-~]+)*+)?$")
+    plain = text.rlike(PLAIN)
     return F.when(plain, text).otherwise(_forms(F.when(~plain, text)))
 
 
@@ -160,9 +193,11 @@ def lookalike_pairs(rows: DataFrame, salts: int = 16) -> DataFrame:
     Only forms that a text differs from can have two texts, so the rest leaves early. Pairs are formed between the
     distinct texts of a form and then given their records, once on either side; hot texts are spread over salts.
     """
-    formed = rows.select("field", "key", "text").where(F.col("key").isNotNull() & F.col("text").rlike(r"(?U)\S")).withColumn("form", consistent_form(F.col("text")))
-    formed = formed.where("form <> ''")
-    dirty = formed.where("text <> form").select("field", "form").distinct()
+    seen = rows.select("field", "key", "text").where(F.col("key").isNotNull() & F.col("text").rlike(r"(?U)\S"))
+    # the transducer runs once over each text that isn't plain; plain texts are their own form
+    odd = cut_lineage(seen.where(~F.col("text").rlike(PLAIN)).withColumn("form", _forms("text")).where("form <> ''"))
+    formed = seen.where(F.col("text").rlike(PLAIN)).withColumn("form", F.col("text")).unionByName(odd)
+    dirty = odd.where("text <> form").select("field", "form").distinct()
     # only records whose form some text differs from; kept, as four branches read them
     records = cut_lineage(formed.join(dirty, ["field", "form"], "left_semi"))
     texts = records.select("field", "form", "text").distinct()

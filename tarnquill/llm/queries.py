@@ -7,7 +7,7 @@ import unicodedata
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnquill.llm.lookalike import ARMENIAN, CYRILLIC, GREEK, OTHER, consistent_form, lookalike_pairs
+from tarnquill.llm.lookalike import consistent_form, lookalike_pairs
 from tarnquill.llm.mixing import mix, shares
 from tarnquill.llm.quality import kinds
 from tarnquill.llm.survivors import elect, json_form, prepared, with_values
@@ -122,9 +122,18 @@ def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
     return _kinds(spark, d)
 
 
+#: For the SQL, listed apart from the operator's own: what looks like each letter or sign.
+LOOKS = {
+    "A": "АΑᎪ", "B": "ВΒᏴ", "C": "СϹᏟ", "E": "ЕΕᎬ", "G": "ԌᏀ", "H": "НΗᎻ", "I": "ІΙ", "J": "ЈᎫ", "K": "КΚᏦ", "L": "ԼᏞ", "M": "МΜᎷ",
+    "N": "Ν", "O": "ОΟՕ", "P": "РΡᏢ", "Q": "Ԛ", "S": "ЅᏚ", "T": "ТΤᎢ", "V": "ѴᏙ", "W": "ԜᎳ", "X": "ХΧ", "Y": "ҮΥ", "Z": "ΖᏃ",
+    "a": "аαɑ", "c": "сϲᴄ", "d": "ԁ", "e": "е", "g": "ցɡ", "h": "һհ", "i": "іιı", "j": "јϳյ", "l": "ӏ", "n": "ո", "o": "оοօ", "p": "рρ",
+    "q": "ԛզ", "s": "ѕ", "u": "սυ", "v": "ѵν", "w": "ԝ", "x": "х", "y": "уүγ", "-": "‐‑−",
+}
+
+
 def _lookalike_sql() -> str:
     """Pairs by a plainer form: translation of single characters, composition, one kind of blank."""
-    pairs = [*zip(*CYRILLIC), *zip(*GREEK), *zip(*ARMENIAN), *zip(*OTHER), *((chr(0xFF00 + i), chr(0x20 + i)) for i in range(1, 95))]
+    pairs = [(c, latin) for latin, likes in LOOKS.items() for c in likes] + [(chr(0xFF00 + i), chr(0x20 + i)) for i in range(1, 95)]
     pairs += [(chr(c), unicodedata.normalize("NFKC", chr(c))) for c in range(0x2F00, 0x2FD6)]
     quoted = lambda i: "".join(p[i] for p in pairs).replace("'", "''")
     form = f"translate(t, '{quoted(0)}', '{quoted(1)}')"

@@ -7,12 +7,19 @@ from tarnquill.llm.lookalike import Conflict, compile_mapping, consistent_form,
     ("Ｗｉｄｅ　ｔｅｘｔ", "Wide text"), ("été", "été"), ("a​b­c", "abc"), ("no break here", "no break here"),
     ("сор", "cop"), ("Выход", "Выход"), ("ﬁlm", "film"), ("⽔", "水"), ("Low‑cost", "Low-cost"), ("  a  b ", "a b"), ("", ""), ("​", ""),
     ("a1l", "a1l"), ("Éte", "Éte"), ("ЕЛ", "ЕЛ"), ("e​́", "é"),
+    ("αρ", "ap"), ("ӏong", "long"), ("ᴇnd", "End"), ("ı", "i"), ("Ꭰay", "Day"), ("𝐀𝒷", "Ab"), ("−1", "-1"), ("ⅷ", "viii"), ("ｶﾞ", "ガ"), ("ậ", "ậ"), ("각", "각"), ("ꓐox", "Box"),
+    ("a \u200b b", "a b"), ("γλώσσα", "γλώσσα"),
 ])
 def test_forms(text, form):
     assert transducer()(text) == form
     assert transducer()(form) == form
 
 
+def test_keys_of_several_characters():
+    keys = transducer().clusters
+    assert keys["e\u0301"] == "é" and keys["カ\u3099"] == "ガ" and len(keys) > 500 and max(map(len, keys)) >= 3
+
+
 def test_null():
     assert transducer()(None) is None
 
@@ -26,7 +33,7 @@ def test_conflicts_are_refused():
     with pytest.raises(Conflict):
         compile_mapping(iter([("a", "b"), ("a", "c")]))
     with pytest.raises(Conflict):
-        compile_mapping(iter([("a", "b"), ("b", "c")]))
+        compile_mapping(iter([("a", "b"), ("b", "c"), ("c", "d")]))
 
 
 def test_long_text_is_linear():
