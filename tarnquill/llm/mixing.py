@@ -1,29 +1,36 @@
 """Mixing sources to target shares of the total size, with capped repetition.
 
 The weights are tempered: on the path from the sources' natural shares q to the targets t, w(a) is proportional to
-q**(1-a) * t**a, and the exponent a is bisected to the largest in [0, 1] at which no source needs more passes than it
-may make for the size of the mix. Without a stated size the mix is as large as the targets allow at a = 1, so that the
-shares are the targets. ``tempered`` without targets flattens the natural shares to a target entropy the same way.
+q**(1-a) * t**a. The exponent is bisected to the least at which the weights meet the targets (their divergence falls to
+``MET``); where a stated size asks more of a source than it may repeat, it is bisected back to the greatest at which no
+source needs more passes than it may make. Without a stated size the mix is as large as the weights allow.
+``tempered`` without targets flattens the natural shares to a target entropy the same way.
 
 Weights become budgets in tokens. A source gives its budget in passes, each a permutation of blocks: documents fall into
 blocks by a hash of pass and document. Whole blocks before the budget's end are taken from the running sum over blocks
-(sources x blocks rows, a fixed number); only the one block in which the budget ends is put in order document by document.
+(passes x blocks rows, a fixed number); the one block in which the budget ends is cut into blocks again, and only a block
+of that block is put in order document by document.
 
 Defined results: documents without a source, or of one without a target, are no part of the mix; documents without
 tokens cost nothing and follow their block; a source without tokens gets no share and the others keep their proportion;
-a target without a number of repeats allows one; targets of null or 0 are left out.
+a target without a number of repeats allows one; targets of null or 0 are left out; repeated targets of a source add up.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BLOCKS = 4096
+BLOCKS, LEVELS = 4096, 2
 STEPS = 60
+#: The divergence at which targets count as met: shares then differ by less than a ten-thousandth.
+MET = 1e-9
+MOST_PASSES = 500
 
 
 def tempered(sizes: dict[str, float], exponent: float, targets: dict[str, float] | None = None) -> dict[str, float]:
@@ -54,6 +61,20 @@ def exponent_for_entropy(sizes: dict[str, float], wanted: float) -> float:
     return (low + high) / 2
 
 
+def divergence(wanted: dict[str, float], weights: dict[str, float]) -> float:
+    """How far the weights are from the wanted shares (Kullback-Leibler, both brought to a sum of 1 over the weights' sources)."""
+    total = sum(wanted[s] for s in weights)
+    return sum(wanted[s] / total * math.log(wanted[s] / total / w) for s, w in weights.items())
+
+
+def _bisected(low: float, high: float, holds: Callable[[float], bool]) -> float:
+    """The least number, to ``STEPS`` halvings, from which on ``holds`` is true; it is true of ``high``."""
+    for _ in range(STEPS):
+        middle = (low + high) / 2
+        low, high = (low, middle) if holds(middle) else (middle, high)
+    return high
+
+
 def budgets(
     sizes: dict[str, float], targets: dict[str, float], repeats: dict[str, int], size: float | None = None
 ) -> tuple[float, dict[str, float]]:
@@ -61,57 +82,73 @@ def budgets(
     sizes = {s: n for s, n in sizes.items() if n > 0 and targets.get(s, 0) > 0}
     if not sizes:
         return 1.0, {}
-
-    def fits(exponent: float, total: float) -> bool:
-        weights = tempered(sizes, exponent, targets)
-        return all(w * total <= repeats[s] * sizes[s] * (1 + 1e-12) for s, w in weights.items())
-
+    weights = lambda a: tempered(sizes, a, targets)
+    largest = lambda a: min(repeats[s] * sizes[s] / w for s, w in weights(a).items())
+    # the divergence falls all along the path, so the exponent that meets the targets is found by bisection
+    exponent = 0.0 if divergence(targets, weights(0.0)) <= MET else _bisected(0.0, 1.0, lambda a: divergence(targets, weights(a)) <= MET)
     if size is None:
-        weights = tempered(sizes, 1.0, targets)
-        size = min(repeats[s] * sizes[s] / w for s, w in weights.items())
-    if not fits(0.0, size):
-        size = min(repeats[s] * sizes[s] / w for s, w in tempered(sizes, 0.0, targets).items())
-    low, high = 0.0, 1.0
-    if fits(1.0, size):
-        low = 1.0
-    else:
-        for _ in range(STEPS):
-            middle = (low + high) / 2
-            low, high = (middle, high) if fits(middle, size) else (low, middle)
-    return low, {s: w * size for s, w in tempered(sizes, low, targets).items()}
-
-
-def mix(counted: DataFrame, targets: DataFrame, size: float | None = None, blocks: int = BLOCKS) -> DataFrame:
-    """(doc_id, source, n_tokens, copies) of all documents in the mix; ``targets`` has one row for each source.
-
-    ``counted`` (doc_id, source, n_tokens) is read twice, so it should be a table or a checkpoint.
+        size = largest(exponent)
+    elif largest(exponent) < size:  # too much is asked of some source: back towards the natural shares, as far as needed
+        if largest(0.0) < size:
+            exponent, size = 0.0, largest(0.0)
+        else:
+            fair = exponent
+            exponent = fair - _bisected(0.0, fair, lambda back: largest(fair - back) >= size * (1 - 1e-12))
+    return exponent, {s: w * size for s, w in weights(exponent).items()}
+
+
+class Plan(NamedTuple):
+    exponent: float
+    sizes: dict[str, float]
+    tokens: dict[str, float]
+
+    @property
+    def passes(self) -> list[tuple[str, int, float]]:
+        """(source, pass, what the pass may hold) of every pass over a source."""
+        return [
+            (s, p, b - p * self.sizes[s]) for s, b in self.tokens.items() for p in range(math.ceil(b / self.sizes[s] - 1e-9))
+        ]
+
+
+def planned(counted: DataFrame, targets: DataFrame, size: float | None = None) -> Plan:
+    """The exponent and each source's budget. Shares of repeated target rows add up, the greatest number of repeats counts."""
+    rows = targets.where("source is not null and target_share > 0").groupBy("source").agg(
+        F.sum("target_share").alias("share"), F.max("max_repeats").alias("repeats")
+    ).limit(MOST_PASSES + 1).collect()  # one row for each source
+    wanted = {r.source: (float(r.share), int(r.repeats or 1)) for r in rows}
+    if len(rows) > MOST_PASSES or sum(r for _, r in wanted.values()) > MOST_PASSES:
+        raise ValueError(f"more than {MOST_PASSES} passes over sources")
+    sums = counted.where(F.col("source").isin(list(wanted))).groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()
+    sizes = {r.source: float(r.n or 0) for r in sums}
+    exponent, tokens = budgets(sizes, {s: t for s, (t, _) in wanted.items()}, {s: r for s, (_, r) in wanted.items()}, size)
+    return Plan(exponent, sizes, tokens)
+
+
+def mix(counted: DataFrame, targets: DataFrame, size: float | None = None, blocks: int = BLOCKS, plan: Plan | None = None) -> DataFrame:
+    """(doc_id, source, n_tokens, copies) of all documents in the mix.
+
+    ``counted`` (doc_id, source, n_tokens) is read several times, so it should be a table or a checkpoint.
     """
-    spark = counted.sparkSession
-    rows = targets.select("source", "target_share", "max_repeats").where("source is not null and target_share > 0").collect()
-    wanted = {r.source: (float(r.target_share), int(r.max_repeats or 1)) for r in rows}  # one row for each source
-    in_mix = counted.select("doc_id", "source", "n_tokens").where(F.col("source").isin(list(wanted)))
-    sizes = {r.source: float(r.n or 0) for r in in_mix.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
-    _, tokens = budgets(sizes, {s: t for s, (t, _) in wanted.items()}, {s: r for s, (_, r) in wanted.items()}, size)
-    passes = [(s, p, b - p * sizes[s]) for s, b in tokens.items() for p in range(math.ceil(b / sizes[s] - 1e-9))]
-    plan = F.broadcast(spark.createDataFrame(passes, "source string, pass int, room double"))  # sources x repeats rows
-
-    order = F.xxhash64("pass", "doc_id")
-    dealt = in_mix.join(plan, "source").withColumn("order", order).withColumn("block", F.pmod("order", F.lit(blocks)))
-    block = dealt.groupBy("source", "pass", "room", "block").agg(F.sum("n_tokens").alias("tokens"))
-    running = Window.partitionBy("source", "pass").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("tokens").over(running), F.lit(0))
-    cut = block.withColumn("before", before).where("before < room").select("source", "pass", "block", "before", "tokens")
-    # sources x repeats x blocks rows at most: a fixed bound
-    placed = dealt.drop("room").join(F.broadcast(cut), ["source", "pass", "block"]).join(plan, ["source", "pass"])
-    inside = placed.where("before + tokens <= room")
-    # a document belongs to the mix if most of it lies before the budget's end
-    last = Window.partitionBy("source", "pass").orderBy("order", "doc_id")
-    partly = placed.where("before + tokens > room").withColumn(
-        "upto", F.col("before") + F.sum("n_tokens").over(last.rowsBetween(Window.unboundedPreceding, 0))
-    ).where("upto - n_tokens / 2 <= room")
+    plan = planned(counted, targets, size) if plan is None else plan
+    passes = F.broadcast(counted.sparkSession.createDataFrame(plan.passes, "source string, pass int, room double"))  # MOST_PASSES rows
     columns = ["doc_id", "source", "n_tokens"]
-    taken = inside.select(*columns).unionByName(partly.select(*columns))
-    return taken.groupBy(*columns).agg(F.count("*").cast("int").alias("copies"))
+    open_ = counted.select(*columns).join(passes, "source").withColumn("order", F.xxhash64("pass", "doc_id"))
+    taken = None
+    for level in range(LEVELS):  # the block at the border is cut into blocks again
+        dealt = open_.withColumn("block", F.pmod(F.shiftright("order", 12 * level), F.lit(blocks)))
+        block = dealt.groupBy("source", "pass", "block").agg(F.sum("n_tokens").alias("tokens"), F.first("room").alias("room"))
+        running = Window.partitionBy("source", "pass").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # blocks
+        cut = block.withColumn("before", F.coalesce(F.sum("tokens").over(running), F.lit(0))).where("before < room")
+        # at most MOST_PASSES x blocks rows
+        placed = dealt.drop("room").join(F.broadcast(cut), ["source", "pass", "block"])
+        inside = placed.where("before + tokens <= room").select(*columns)
+        taken = inside if taken is None else taken.unionByName(inside)
+        open_ = placed.where("before + tokens > room").select(*columns, "pass", "order", (F.col("room") - F.col("before")).alias("room"))
+    # a document belongs to the mix if most of it lies before the budget's end
+    last = Window.partitionBy("source", "pass").orderBy("order", "doc_id")  # a block of a block of a source
+    upto = F.sum("n_tokens").over(last.rowsBetween(Window.unboundedPreceding, 0))
+    partly = open_.withColumn("upto", upto).where("upto - n_tokens / 2 <= room").select(*columns)
+    return taken.unionByName(partly).groupBy(*columns).agg(F.count("*").cast("int").alias("copies"))
 
 
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
@@ -120,6 +157,7 @@ def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
         F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.count("*").alias("documents"),
         F.sum("copies").alias("occurrences"), F.max("copies").alias("most_copies"),
     )
-    joined = targets.select("source", "target_share", "max_repeats").join(sums, "source", "left").na.fill(0, ["tokens", "documents", "occurrences", "most_copies"])
+    stated = targets.where("source is not null").groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
+    joined = stated.join(sums, "source", "left").na.fill(0, ["tokens", "documents", "occurrences", "most_copies"])
     total = F.sum("tokens").over(Window.partitionBy())  # one row per source
     return joined.withColumn("actual_share", F.try_divide("tokens", total))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnquill.llm.lookalike import consistent_form, lookalike_pairs
-from tarnquill.llm.mixing import mix, shares
+from tarnquill.llm.mixing import mix, planned, shares
 from tarnquill.llm.quality import kinds
 from tarnquill.llm.survivors import elect, json_form, prepared, with_values
 from tarnquill.llm.term_counts import marked, term_frequencies, updated_frequencies
@@ -100,13 +100,29 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return token_ids(table(spark, d, "documents", "doc_id", "text"))
 
 
+def _counted(spark: SparkSession, d: str) -> DataFrame:
+    return cut_lineage(token_counts(table(spark, d, "documents", "doc_id", "source", "text")))
+
+
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
-    counted = cut_lineage(token_counts(table(spark, d, "documents", "doc_id", "source", "text")))
-    return mix(counted, table(spark, d, "mix_targets"))
+    return mix(_counted(spark, d), table(spark, d, "mix_targets"))
+
+
+def _shares_of(counted: DataFrame, targets: DataFrame, times: float | None = None) -> DataFrame:
+    plan = planned(counted, targets)
+    if times is not None:
+        plan = planned(counted, targets, times * sum(plan.tokens.values()))
+    return shares(mix(counted, targets, plan=plan), targets).withColumn("exponent", F.lit(plan.exponent))
 
 
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
-    return shares(p8_mix(spark, d), table(spark, d, "mix_targets"))
+    """The sources' shares beside their targets, with the exponent that met them."""
+    return _shares_of(_counted(spark, d), table(spark, d, "mix_targets"))
+
+
+def p8_shares_larger(spark: SparkSession, d: str) -> DataFrame:
+    """The same of a mix a tenth larger than the targets allow: the exponent goes back as far as the repeats demand."""
+    return _shares_of(_counted(spark, d), table(spark, d, "mix_targets"), 1.1)
 
 
 def _kinds(spark: SparkSession, d: str) -> DataFrame:
@@ -152,7 +168,7 @@ QUERIES = {
     "p3_found": p3_found, "p3_counts": p3_counts, "p3_dictionary": p3_dictionary,
     "p4_found": p4_found, "p4_golden": p4_golden,
     "p7_ids": p7_ids,
-    "p8_mix": p8_mix, "p8_shares": p8_shares,
+    "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_shares_larger": p8_shares_larger,
     "p9_found": p9_found, "p9_statistics": p9_statistics,
 }
 
