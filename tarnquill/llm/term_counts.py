@@ -88,9 +88,8 @@ def term_frequencies(df: DataFrame, term: Column, record: Column, support: float
     )
     weighty = blocks.groupBy("slot").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_records").alias("n_records"))
     weighty = weighty.join(F.broadcast(heavy), "slot").select("term", "n_rows", "n_records")
-    # one exchange by term serves both groupings
-    light = slotted.where("slot is null").select("term", "record").repartition("term")
-    light = light.groupBy("term", "record").agg(F.count("*").alias("n"))
+    # partial sums before either exchange; the first is by term and record, so no term is a task of its own
+    light = slotted.where("slot is null").groupBy("term", "record").agg(F.count("*").alias("n"))
     light = light.groupBy("term").agg(F.sum("n").alias("n_rows"), F.count("record").alias("n_records"))
     return weighty.unionByName(light)
 
