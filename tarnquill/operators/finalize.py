@@ -59,10 +59,14 @@ def projection_status(queries: DataFrame, projected: DataFrame, gate: float = 0.
 def review_packet(shares: DataFrame, best: int = 3, others: int = 5, salt: str = "tq-5") -> DataFrame:
     """Of each topic the records with the greatest shares and some more in reproducible order."""
     first = Window.partitionBy("topic_id").orderBy(F.desc(F.round("p", 9)), "row_id")
-    ranked = shares.withColumn("place", F.row_number().over(first))
-    top = ranked.where(F.col("place") <= best).select("topic_id", "row_id", F.lit("top").alias("kind"), "place")
+    # windows with a limit keep so many rows of a topic in each task before the exchange
+    top = shares.withColumn("place", F.row_number().over(first)).where(F.col("place") <= best)
+    top = top.select("topic_id", "row_id", F.lit("top").alias("kind"), "place")
     order = Window.partitionBy("topic_id").orderBy(sample_order(F.col("row_id").cast("string"), F.col("topic_id").cast("string"), salt), "row_id")
-    rest = ranked.where(F.col("place") > best).withColumn("place", F.row_number().over(order)).where(F.col("place") <= others)
+    drawn = shares.withColumn("drawn", F.row_number().over(order)).where(F.col("drawn") <= best + others)  # the top ones may be among them
+    rest = drawn.join(F.broadcast(top.select("topic_id", "row_id")), ["topic_id", "row_id"], "left_anti")  # ``best`` rows a topic
+    again = Window.partitionBy("topic_id").orderBy("drawn")
+    rest = rest.withColumn("place", F.row_number().over(again)).where(F.col("place") <= others)
     return top.unionByName(rest.select("topic_id", "row_id", F.lit("sample").alias("kind"), "place"))
 
 

@@ -45,7 +45,7 @@ def class_tfidf(counts: DataFrame, group: str) -> DataFrame:
     classes = counts.groupBy(F.col(group).alias("class")).agg(F.sum("n").alias("words"))
     mean = classes.agg(F.floor(F.avg("words")).alias("mean"))
     frequency = counts.groupBy("term").agg(F.sum("n").alias("frequency"))
-    rows = counts.join(frequency, "term").join(F.broadcast(classes), F.col(group).eqNullSafe(F.col("class"))).crossJoin(mean)  # one row
+    rows = counts.join(frequency, "term").join(classes, F.col(group).eqNullSafe(F.col("class"))).crossJoin(mean)  # one row
     idf = F.log(1 + F.col("mean") / F.greatest("frequency", F.lit(1)))
     return rows.select(group, "term", (F.sqrt(F.col("n") / F.col("words")) * idf).alias("weight"))
 

@@ -22,7 +22,7 @@ def checked_threshold(t: float) -> float:
 
 def topic_shares(hits: DataFrame) -> DataFrame:
     """(row_id, topic_id, mass, p): each topic's summed score and its share of the record's total."""
-    mass = hits.groupBy("row_id", F.substring("topic_code", 6, 4).cast("int").alias("topic_id")).agg(F.sum("score").alias("mass"))
+    mass = hits.groupBy("row_id", F.regexp_extract("topic_code", r"([0-9]+)$", 1).cast("int").alias("topic_id")).agg(F.sum("score").alias("mass"))
     total = F.sum("mass").over(Window.partitionBy("row_id"))  # a record has few topics
     return mass.withColumn("p", F.col("mass") / F.greatest(total, F.lit(1e-12)))
 
@@ -68,8 +68,11 @@ def qualified_edges(shares: DataFrame, population: DataFrame, ledger: DataFrame,
 def scoped_edges(edges: DataFrame, t: float = THRESHOLD) -> DataFrame:
     """Each edge of at least t with its stage: retained, pending, excluded, or unqualified. Supporting topics need a text
     anchor or a core topic at the same threshold in the same record."""
-    at = edges.where(F.round("p", 9) >= checked_threshold(t))
-    core = F.bool_or((F.col("state") == "keep_core") & F.col("qualified")).over(Window.partitionBy("row_id"))
+    return _staged(edges.where(F.round("p", 9) >= checked_threshold(t)), "row_id")
+
+
+def _staged(at: DataFrame, *record: str) -> DataFrame:
+    core = F.bool_or((F.col("state") == "keep_core") & F.col("qualified")).over(Window.partitionBy(*record))
     context = F.col("anchor") | core
     allowed = (F.col("state") == "keep_core") | ((F.col("state") == "keep_supporting") & context)
     pending = (F.col("state") == "review") | ((F.col("state") == "keep_supporting") & ~context)
@@ -99,10 +102,9 @@ def scope_status(population: DataFrame, shares: DataFrame, scoped: DataFrame) ->
 
 def sensitivity(edges: DataFrame, records: DataFrame, thresholds: tuple[float, ...] = (0.05, 0.10, 0.15)) -> DataFrame:
     """Per source, threshold and stage: documents with one, with several topics, edges and mass. Stages overlap."""
-    parts = None
-    for t in thresholds:  # the core context depends on the threshold
-        part = scoped_edges(edges, t).withColumn("threshold", F.lit(t))
-        parts = part if parts is None else parts.unionByName(part)
+    levels = F.array(*(F.lit(checked_threshold(t)) for t in thresholds))
+    at = edges.select("*", F.explode(F.filter(levels, lambda t: F.round("p", 9) >= t)).alias("threshold"))
+    parts = _staged(at, "row_id", "threshold")  # the core context depends on the threshold
     stages = F.array_compact(F.array(
         F.lit("raw"), F.when(F.col("qualified"), F.lit("quality_qualified")), F.when(F.col("stage") != "unqualified", F.col("stage"))
     ))
@@ -112,7 +114,7 @@ def sensitivity(edges: DataFrame, records: DataFrame, thresholds: tuple[float, .
         F.count("*").alias("assigned_documents"), F.count_if(F.col("n") > 1).alias("multiple_topic_documents"),
         F.sum("n").alias("edges"), F.round(F.sum("mass"), 4).alias("contribution_mass"),
     )
-    return sums.join(F.broadcast(records), "source").select(
+    return sums.join(records, "source").select(
         "*", F.round(F.col("assigned_documents") / F.col("records"), 6).alias("coverage"),
         F.round(F.col("edges") / F.col("assigned_documents"), 6).alias("mean_topics_assigned"),
     )

@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tarnquill.operators.integrity import ContractError
 from tarnquill.operators.nested import opened
+from tarnquill.session import numbered
 
 
 def parse_record(raw: str | None, flat: str | None) -> dict[str, tuple[str, float]]:
@@ -74,10 +74,8 @@ def build_dictionary(names: DataFrame, decided: DataFrame, patterns: list[tuple[
     for _, pattern in patterns:
         excluded = excluded | F.col("name").rlike(pattern)
     decision = F.coalesce("d.decision", F.when(excluded, F.lit("excluded_rule")), F.lit("unreviewed"))
-    # the order of all names is the code: a vocabulary, not a corpus
-    number = F.row_number().over(Window.orderBy("name"))
-    return rows.select(
-        F.format_string("KW%05d", number).alias("keyword_code"), F.col("name").alias("canonical_name"), decision.alias("decision"),
+    return numbered(rows, "name", "number", 1).select(
+        F.format_string("KW%05d", "number").alias("keyword_code"), F.col("name").alias("canonical_name"), decision.alias("decision"),
         F.coalesce("d.topic_code", F.lit("")).alias("topic_code"),
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tarnquill.functions.expressions import quarter, ratio
+from tarnquill.operators.packed import institution_values
 
 #: Our rules as (topic, category, patterns that all have to match, pattern that forbids).
 RULES = [
@@ -80,8 +81,8 @@ def window_label(date: Column) -> Column:
 def institutions(members: DataFrame, metadata: DataFrame) -> DataFrame:
     """Distinct institutions per topic and window; stand-ins for nothing don't count."""
     papers = members.where("source = 'paper' AND eligible").select("doc_id", "topic_id", window_label(F.col("date")).alias("window"))
-    named = metadata.select("doc_id", F.explode(F.split("institutions", ";")).alias("institution"))
-    named = named.withColumn("institution", F.lower(F.trim("institution"))).where(~F.col("institution").isin("", "none", "nan", "[]"))
+    named = institution_values(metadata, "doc_id").select(F.col("record_key").alias("doc_id"), F.lower("value").alias("institution"))
+    named = named.where(~F.col("institution").isin("none", "nan"))
     joined = papers.where("window IS NOT NULL").join(named, "doc_id")
     return joined.groupBy("topic_id", "window").agg(F.countDistinct("institution").alias("institutions"))
 

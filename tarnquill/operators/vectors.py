@@ -120,13 +120,21 @@ def neighbours(queries: DataFrame, references: DataFrame, k: int = 10, block: in
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def projected(near: DataFrame, edges: DataFrame, n: int = 10, temperature: float = 0.05) -> DataFrame:
-    """(query_id, topic_id, p, s1): neighbours' topic shares weighted by exp((s - s1) / temperature)."""
-    first = Window.partitionBy("query_id")  # n rows each
-    w = near.where(F.col("rank") <= n).withColumn("s1", F.max("cosine").over(first))
+def projected(near: DataFrame, edges: DataFrame, n: int | None = None, temperature: float = 0.05, within: tuple[str, ...] = ()) -> DataFrame:
+    """(query_id, topic_id, p, s1): neighbours' topic shares weighted by exp((s - s1) / temperature), weights summing to 1.
+    The first ``n`` neighbours count; with ``within`` n is a column, and each n a projection of its own."""
+    first = Window.partitionBy("query_id", *within)  # n rows each
+    w = near.where(F.col("rank") <= (F.col("n") if within else n)).withColumn("s1", F.max("cosine").over(first))
     w = w.withColumn("w", F.exp((F.col("cosine") - F.col("s1")) / temperature))
     w = w.withColumn("w", F.col("w") / F.sum("w").over(first))
-    return w.join(edges, "vec_id").groupBy("query_id", "topic_id").agg(F.sum(F.col("w") * F.col("p")).alias("p"), F.max("s1").alias("s1"))
+    return w.join(edges, "vec_id").groupBy("query_id", "topic_id", *within).agg(F.sum(F.col("w") * F.col("p")).alias("p"), F.max("s1").alias("s1"))
+
+
+def projection_sums(projections: DataFrame, tolerance: float = 2e-5) -> DataFrame:
+    """(queries, off): queries whose projected shares don't sum to 1 within the tolerance; references whose own shares do
+    sum to 1 leave none."""
+    sums = projections.groupBy("query_id").agg(F.sum("p").alias("total"))
+    return sums.agg(F.count("*").alias("queries"), F.count_if(F.abs(F.col("total") - 1) > tolerance).alias("off"))
 
 
 def own_and_other(vectors: DataFrame, centres: DataFrame, group: str = "label") -> DataFrame:

@@ -12,7 +12,7 @@ from tarnquill.operators.vectors import projected
 from tarnquill.plans.topic_queries import _M, _shares
 from tarnquill.plans.keyword_queries import _Tables
 from tarnquill.plans.vector_queries import _BASE as _VECTORS
-from tarnquill.plans.vector_queries import _edges, _near, _others
+from tarnquill.plans.vector_queries import _edges, _near, _queries
 from tarnquill.sources import table
 
 #: Fixed value: names that the queries exclude.
@@ -35,7 +35,7 @@ def corpus_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 
 def projection_status(spark: SparkSession, d: str) -> DataFrame:
-    return Z.projection_status(_others(spark, d), projected(_near(spark, d, 10), _edges(spark, d), 10), gate=0.3)
+    return Z.projection_status(_queries(spark, d), projected(_near(spark, d, 10), _edges(spark, d), 10), gate=0.3)
 
 
 def review_packet(spark: SparkSession, d: str) -> DataFrame:
@@ -89,7 +89,7 @@ SQL = {
         count(*) FILTER (WHERE vec_id % 5 = 0 OR vec_id % 11 <> 0) AS assigned_records, count(*) FILTER (WHERE vec_id % 5 <> 0 AND vec_id % 11 = 0) AS unassigned_records FROM embeddings GROUP BY ALL""",
     "projection_status": _VECTORS + """, q AS (SELECT query_id, max(s1) AS s1, coalesce(string_agg(topic_id, '|' ORDER BY topic_id::VARCHAR) FILTER (WHERE round(p, 6) >= 0.1 AND round(s1, 6) >= 0.3), '') AS topic_ids FROM proj WHERE n = 10 GROUP BY ALL)
         SELECT vec_id, CASE WHEN s1 IS NULL THEN 'unusable' WHEN round(s1, 6) < 0.3 THEN 'below_similarity_gate' WHEN topic_ids = '' THEN 'below_contribution_threshold' ELSE 'assigned_candidate' END AS status,
-        coalesce(topic_ids, '') AS topic_ids FROM others LEFT JOIN q ON vec_id = query_id""",
+        coalesce(topic_ids, '') AS topic_ids FROM v LEFT JOIN q ON vec_id = query_id WHERE vec_id % 100 = 0""",
     "review_packet": _M + """, pk AS (SELECT topic_id, row_id, row_number() OVER (PARTITION BY topic_id ORDER BY round(p, 9) DESC, row_id) AS place FROM shares)
         SELECT topic_id, row_id, 'top' AS kind, place::INT AS place FROM pk WHERE place <= 3 UNION ALL
         SELECT topic_id, row_id, 'sample', r::INT FROM (SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY md5(concat(row_id, topic_id, 'tq-5')), row_id) AS r FROM pk WHERE place > 3) WHERE r <= 5""",

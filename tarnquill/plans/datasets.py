@@ -92,7 +92,7 @@ keywords AS (SELECT snapshot_id, node_path, parent_path, CASE WHEN trim(coalesce
 _NODES = NODES  # the name before
 
 # a plainer reading than the operator's, with the separators of these tables
-_PACKED = r"""
+PACKED_CTES = r"""
 WITH f AS (SELECT 'institutions' AS field, meta_id::VARCHAR AS record_key, trim(institutions, E' \t\r\n') AS t, false AS codes FROM recent_metadata
     UNION ALL SELECT 'conditional_anchor_topics', keyword_code, trim(conditional_anchor_topics, E' \t\r\n'), true FROM keyword_dictionary
     UNION ALL SELECT 'raw_names', keyword_code, trim(raw_names, E' \t\r\n'), false FROM keyword_aliases),
@@ -104,8 +104,9 @@ p AS (SELECT field, record_key, t LIKE '[%]' AS is_list, CASE
     ELSE regexp_extract_all(replace(t, ' / ', ';'), '\s*"(?:[^"]|"")*"|(?:\\.|[^;；|\n\r\t])+') END AS v FROM g),
 q AS (SELECT field, record_key, list_filter(list_transform(v, lambda x: CASE WHEN is_list THEN trim(x) WHEN trim(x, E' \t\r\n') LIKE '"%"'
     THEN replace(trim(x, E' \t\r\n')[2:-2], '""', '"') ELSE replace(trim(x, E' \t\r\n'), '\;', ';') END), lambda x: trim(x) <> '') AS v FROM p)
-SELECT field, record_key, generate_subscripts(v, 1)::INT AS pos, unnest(v) AS value FROM q
 """
+PACKED_ROWS = "SELECT field, record_key, generate_subscripts(v, 1)::INT AS pos, unnest(v) AS value FROM q"
+_PACKED = PACKED_CTES + PACKED_ROWS
 
 _EVIDENCE = NODES + """, ev AS (SELECT snapshot_id, node_path AS parent_path, i AS evidence_pos, e -> (i - 1) AS item FROM
     (SELECT snapshot_id, node_path, e, unnest(range(1, json_array_length(e)::BIGINT + 1))::INT AS i FROM (SELECT *, node -> '$.evidence' AS e FROM objects) WHERE json_type(e) = 'ARRAY')),

@@ -90,7 +90,7 @@ def kwd_md5_sample(spark: SparkSession, d: str) -> DataFrame:
     return K.md5_sample(rows, "topic_code", "doc_id", 5, "tq-1").select("topic_code", "doc_id", "sample_rank")
 
 
-def kwd_regression_all(spark: SparkSession, d: str) -> DataFrame:
+def kwd_regression(spark: SparkSession, d: str) -> DataFrame:
     """All relations of the version before (by direct hits, nothing withheld) and whether they are still assigned."""
     t = _Tables(spark, d)
     none = t.obs.select("row_id", "keyword_id").where("false")
@@ -101,11 +101,6 @@ def kwd_regression_all(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def kwd_regression(spark: SparkSession, d: str) -> DataFrame:
-    """The part of ``kwd_regression_all`` that the SQL has: every tenth paper, no check of the whole."""
-    return kwd_regression_all(spark, d).where("row_id % 10 = 0")
-
-
 def kwd_withheld_check(spark: SparkSession, d: str) -> DataFrame:
     """Withheld pairs, those really observed, and those that still trigger."""
     t = _Tables(spark, d)
@@ -280,7 +275,7 @@ SQL = {k: _BASE + v for k, v in {
     "kwd_md5_sample": """SELECT topic_code, doc_id, sample_rank::INT AS sample_rank FROM (SELECT topic_code, doc_id, row_number() OVER
         (PARTITION BY topic_code ORDER BY md5(concat(doc_id, topic_code, 'tq-1')), doc_id) AS sample_rank FROM related JOIN population USING (row_id)) WHERE sample_rank <= 5""",
     "kwd_regression": """SELECT a.row_id, a.topic_code, r.row_id IS NOT NULL AS still_assigned FROM allrelated a LEFT JOIN related r USING (row_id, topic_code)
-        WHERE a.has_direct_hit AND a.row_id % 10 = 0""",
+        WHERE a.has_direct_hit""",
     "kwd_withheld_check": """SELECT (SELECT count(*) FROM held) AS withheld_pairs, (SELECT count(*) FROM held SEMI JOIN obs USING (row_id, keyword_id)) AS observed_pairs,
         (SELECT count(*) FROM held SEMI JOIN hits USING (row_id, keyword_id)) AS still_triggering""",
     "vocabulary_idf": "SELECT keyword_id, document_frequency, round(idf, 6) AS idf FROM terms",
@@ -322,7 +317,7 @@ SQL = {k: _BASE + v for k, v in {
 
 QUERIES = {f.__name__: f for f in (
     kwd_candidate_hits, kwd_anchors, kwd_eligible, kwd_relations, kwd_assignments, kwd_topic_counts, kwd_topics_per_doc,
-    kwd_status_counts, kwd_version_compare, kwd_list_edge_reconcile, kwd_md5_sample, kwd_regression, kwd_regression_all,
+    kwd_status_counts, kwd_version_compare, kwd_list_edge_reconcile, kwd_md5_sample, kwd_regression,
     kwd_withheld_check, vocabulary_idf, tfidf_l2, feature_mask_renorm, snapshot_dedupe, alias_counts, preferred_alias, keyword_parse_json,
     obs_integrity, population_check, dict_decision_cascade, synonym_canonical, unobserved_terms, lookup_document,
     stratified_context_queue,

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from tarnquill.functions.expressions import sample_order
 from tarnquill.operators import titles as T
+from tarnquill.plans.datasets import PACKED_CTES, PACKED_ROWS
 from tarnquill.sources import cell_safe, table
 
 
@@ -137,7 +138,7 @@ def _matched(patterns: list[str], negative: str) -> str:
 
 
 _BASE = (
-    "WITH members AS (" + " UNION ALL ".join(
+    PACKED_CTES + ", packed AS (" + PACKED_ROWS + "), members AS (" + " UNION ALL ".join(
         f"SELECT doc_id, source, date, eligible, category_id, '{t}' AS topic_id, concat_ws('|', {', '.join(f"regexp_extract(title, '{p}', 0, 'i')" for p in ps)}) AS evidence "
         f"FROM population WHERE usable AND {_matched(ps, neg)}" for t, _, ps, neg in T.RULES
     ) + f"""), topics AS (SELECT unnest({[t for t, *_ in T.RULES]}) AS topic_id),
@@ -148,9 +149,9 @@ grid AS (SELECT topic_id, concat(year(q), 'Q', quarter(q)) AS period FROM topics
 counts AS (SELECT topic_id, concat(year(date), 'Q', quarter(date)) AS period, count(DISTINCT doc_id) AS papers FROM members WHERE source = 'paper' AND eligible GROUP BY ALL),
 dense AS (SELECT topic_id, period, coalesce(papers, 0) AS papers, coalesce(denominator_papers, 0) AS denominator_papers,
           coalesce(papers, 0) / nullif(coalesce(denominator_papers, 0), 0)::DOUBLE AS share FROM grid LEFT JOIN counts USING (topic_id, period) LEFT JOIN den USING (period)),
-breadth AS (SELECT topic_id, win, count(DISTINCT lower(trim(i))) AS institutions FROM labelled
-            JOIN (SELECT doc_id, unnest(string_split(institutions, ';')) AS i FROM recent_metadata) USING (doc_id)
-            WHERE source = 'paper' AND eligible AND win IS NOT NULL AND lower(trim(i)) NOT IN ('', 'none', 'nan', '[]') GROUP BY ALL)
+breadth AS (SELECT topic_id, win, count(DISTINCT lower(value)) AS institutions FROM labelled
+            JOIN (SELECT doc_id, value FROM packed JOIN recent_metadata ON field = 'institutions' AND record_key = meta_id::VARCHAR) USING (doc_id)
+            WHERE source = 'paper' AND eligible AND win IS NOT NULL AND lower(value) NOT IN ('none', 'nan') GROUP BY ALL)
 """)
 
 SQL = {k: _BASE + v for k, v in {
@@ -160,12 +161,12 @@ SQL = {k: _BASE + v for k, v in {
     "quarter_dense_share": "SELECT topic_id, period, papers, denominator_papers, round(coalesce(share, 0), 6) AS share FROM dense",
     "institution_breadth": "SELECT topic_id, win AS window, institutions FROM breadth",
     "trend_tiers": """, y AS (SELECT *, CASE WHEN period >= '2025Q3' THEN 'recent' ELSE 'previous' END AS win, coalesce(share, 0) AS s FROM dense WHERE period >= '2024Q3'),
-        g AS (SELECT *, lag(s, 4) OVER (PARTITION BY topic_id ORDER BY period) AS before FROM y),
-        a AS (SELECT topic_id, sum(papers) FILTER (WHERE win = 'recent')::BIGINT AS recent_papers, sum(papers) FILTER (WHERE win = 'previous')::BIGINT AS previous_papers,
+        grown AS (SELECT *, lag(s, 4) OVER (PARTITION BY topic_id ORDER BY period) AS before FROM y),
+        sums AS (SELECT topic_id, sum(papers) FILTER (WHERE win = 'recent')::BIGINT AS recent_papers, sum(papers) FILTER (WHERE win = 'previous')::BIGINT AS previous_papers,
               sum(denominator_papers) FILTER (WHERE win = 'recent') AS rd, sum(denominator_papers) FILTER (WHERE win = 'previous') AS pd,
-              count(*) FILTER (WHERE win = 'recent' AND s > before) AS growing_quarters FROM g GROUP BY ALL),
+              count(*) FILTER (WHERE win = 'recent' AND s > before) AS growing_quarters FROM grown GROUP BY ALL),
         b AS (SELECT topic_id, sum(CASE WHEN win = 'recent' THEN institutions ELSE -institutions END)::BIGINT AS growth FROM breadth GROUP BY ALL),
-        c AS (SELECT *, coalesce(growth, 0) AS institution_growth, (recent_papers / nullif(rd, 0)::DOUBLE) / nullif(previous_papers / nullif(pd, 0)::DOUBLE, 0) AS r FROM a LEFT JOIN b USING (topic_id))
+        c AS (SELECT *, coalesce(growth, 0) AS institution_growth, (recent_papers / nullif(rd, 0)::DOUBLE) / nullif(previous_papers / nullif(pd, 0)::DOUBLE, 0) AS r FROM sums LEFT JOIN b USING (topic_id))
         SELECT topic_id, recent_papers, previous_papers, growing_quarters, institution_growth, round(r, 6) AS ratio,
                CASE WHEN recent_papers < 30 OR previous_papers < 30 THEN 'observe' WHEN r IS NULL THEN NULL WHEN r >= 1.2 AND growing_quarters >= 3 AND institution_growth >= 1 THEN 'priority'
                     WHEN r < 0.8 THEN 'decline' WHEN r >= 1.2 THEN 'rising_unsteady' ELSE 'flat' END AS tier FROM c""",

@@ -15,7 +15,7 @@ from tarnquill.operators import selection as S
 from tarnquill.operators import vectors as V
 from tarnquill.plans.keyword_queries import _BASE as _KEYWORDS
 from tarnquill.plans.keyword_queries import _Tables
-from tarnquill.session import cut_lineage
+from tarnquill.session import cut_lineage, numbered
 from tarnquill.sources import table
 
 #: Fixed value: our anchor words of a record's title.
@@ -174,30 +174,18 @@ def bow_matrix(spark: SparkSession, d: str) -> DataFrame:
     return L.bag_of_words(_documents(spark, d), "doc_id", "source")
 
 
-def bow_counts_full(spark: SparkSession, d: str) -> DataFrame:
+def bow_counts(spark: SparkSession, d: str) -> DataFrame:
     """Every word and word pair per source, in any script, with its count; documents without source under null."""
     return L.bag_of_words(_documents(spark, d), "source")
 
 
-def ctfidf_top_words_full(spark: SparkSession, d: str) -> DataFrame:
+def ctfidf_top_words(spark: SparkSession, d: str) -> DataFrame:
     """Each source's 20 heaviest terms, weighed over all terms in any script; documents without source are a class."""
-    top = L.top_terms(L.class_tfidf(bow_counts_full(spark, d), "source"), "source")
+    counts = cut_lineage(bow_counts(spark, d))  # read by three groupings
+    top = L.top_terms(L.class_tfidf(counts, "source"), "source")
     return top.select("source", "rank", "term", F.round("weight", 6).alias("weight"))
 
 
-def bow_counts(spark: SparkSession, d: str) -> DataFrame:
-    """ASCII words and word pairs per source with counts of 20 and more, as the SQL has them; no whole counts."""
-    ascii_ = _documents(spark, d).where("source IS NOT NULL").withColumn("text", F.regexp_replace("text", "[^ -~\n。！？；]", " "))
-    return L.bag_of_words(ascii_, "source").where("n >= 20")
-
-
-def ctfidf_top_words(spark: SparkSession, d: str) -> DataFrame:
-    """Weights over ASCII words, as the SQL has them; no whole counts."""
-    ascii_ = _documents(spark, d).where("source IS NOT NULL").withColumn("text", F.regexp_replace("text", "[^ -~\n。！？；]", " "))
-    top = L.top_terms(L.class_tfidf(L.bag_of_words(ascii_, "source"), "source"), "source")
-    return top.select("source", "rank", F.round("weight", 6).alias("weight"))
-
-
 def text_view_head_mid_tail(spark: SparkSession, d: str) -> DataFrame:
     view = L.head_middle_tail(F.col("text"))
     return _documents(spark, d).where("text IS NOT NULL").select("doc_id", F.length(view).alias("n"), F.md5(view).alias("view_md5"))
@@ -214,7 +202,7 @@ def source_weights(spark: SparkSession, d: str) -> DataFrame:
 def _features(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
     t = _Tables(spark, d)
     terms = cut_lineage(K.vocabulary(t.obs, t.papers))
-    index = terms.select("keyword_id", (F.row_number().over(Window.orderBy("keyword_id")) - 1).alias("col"))  # the vocabulary
+    index = numbered(terms.select("keyword_id"), "keyword_id", "col")
     return cut_lineage(N.sparse_rows(K.tfidf(t.obs, terms), index)), terms.count()
 
 
@@ -270,7 +258,7 @@ def ledger_latest(spark: SparkSession, d: str) -> DataFrame:
     return events.groupBy("user_id").agg(last).select("user_id", "last.event_id", "last.event_type")
 
 
-_M = _KEYWORDS + f""", mass AS (SELECT row_id, substr(topic_code, 6, 4)::INT AS topic_id, sum(score) AS mass FROM allhits GROUP BY ALL),
+_M = _KEYWORDS + f""", mass AS (SELECT row_id, regexp_extract(topic_code, '[0-9]+$')::INT AS topic_id, sum(score) AS mass FROM allhits GROUP BY ALL),
 shares AS (SELECT *, mass / greatest(sum(mass) OVER (PARTITION BY row_id), 1e-12) AS p FROM mass),
 ledger AS (SELECT topic_id::INT AS topic_id, ['keep_core', 'keep_supporting', 'review', 'exclude'][topic_id % 4 + 1] AS state FROM (SELECT unnest(range(1, 100)) AS topic_id)),
 meta AS (SELECT row_id, source, usable AND NOT retracted AND NOT template_record AS gate, coalesce(regexp_matches(title, '{ANCHOR}', 'i'), false) AS anchor FROM population),
@@ -300,9 +288,11 @@ o AS (SELECT *, row_number() OVER (PARTITION BY penalty, tolerance ORDER BY with
 """
 
 _WORDS = f"""
-WITH s AS (SELECT source, unnest(string_split_regex(lower(regexp_replace(text, '[^ -~\n。！？；]', ' ', 'g')), '[.!?;\n。！？；]+')) AS s FROM documents WHERE source IS NOT NULL AND text IS NOT NULL),
-w AS (SELECT source, list_filter(regexp_extract_all(s, '[a-z0-9]+'), lambda x: length(x) >= 2 AND NOT list_contains({L.STOP}, x)) AS w FROM s),
-t AS (SELECT source, unnest(w) AS term FROM w UNION ALL SELECT source, unnest(list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1]))) FROM w WHERE len(w) >= 2),
+WITH s AS (SELECT doc_id, source, unnest(string_split_regex(lower(text), '[.!?;\\n。！？；]+')) AS s FROM documents WHERE text IS NOT NULL),
+r AS (SELECT doc_id, source, regexp_extract_all(s, '[\\p{{L}}\\p{{N}}]+') AS r FROM s),
+w AS (SELECT doc_id, source, list_filter(flatten(list_transform(r, lambda x: CASE WHEN regexp_full_match(x, '\\p{{Han}}+') AND length(x) > 1
+    THEN list_transform(range(1, length(x)), lambda i: substr(x, i, 2)) ELSE [x] END)), lambda x: length(x) >= 2 AND NOT list_contains({L.STOP}, x)) AS w FROM r),
+t AS (SELECT doc_id, source, unnest(w) AS term FROM w UNION ALL SELECT doc_id, source, unnest(list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1]))) FROM w WHERE len(w) >= 2),
 c AS (SELECT source, term, count(*) AS n FROM t GROUP BY ALL)
 """
 
@@ -339,14 +329,19 @@ SQL = {k: _M + s for k, s in {
         SELECT topic_code, count(*) AS pairs, round(avg(CASE WHEN nab IS NULL THEN -1 ELSE ln((nab / n::DOUBLE) / ((na / n::DOUBLE) * (nb / n::DOUBLE))) / greatest(-ln(nab / n::DOUBLE), 1e-12) END), 6) AS npmi
         FROM (pr LEFT JOIN ab USING (topic_code, ka, kb)), papers GROUP BY topic_code""",
 }.items()} | {
-    "list_checks": "SELECT unnest(['length', 'repeated', 'below', 'sum']) AS rule, 0::BIGINT AS violations",
+    "list_checks": _M + """, ls AS (SELECT row_id, list(topic_id ORDER BY q DESC, topic_id) AS ids, list(q ORDER BY q DESC, topic_id) AS ws, count(*) AS n, sum(p) AS retained
+        FROM (SELECT *, round(p, 9) AS q FROM shares) WHERE q >= 0.1 GROUP BY ALL),
+        bad AS (SELECT unnest([{'rule': 'length', 'b': len(ids) <> n}, {'rule': 'repeated', 'b': len(list_distinct(ids)) <> len(ids)}, {'rule': 'below', 'b': list_min(ws) < 0.1},
+        {'rule': 'sum', 'b': abs(list_sum(ws) - retained) > 1e-6}]) AS x FROM ls)
+        SELECT x.rule AS rule, count(*) FILTER (WHERE x.b) AS violations FROM bad GROUP BY ALL""",
     "model_selection_rank": _CAND + """SELECT requested_k, round(mean_metric_rank, 6) AS mean_metric_rank, round(selection_score, 6) AS selection_score, within_practical_tie, selected
         FROM o WHERE penalty = 0.15 AND tolerance = 0.05""",
     "selection_sensitivity": _CAND + "SELECT penalty, tolerance, requested_k AS selected_k FROM o WHERE selected",
-    "bow_counts": _WORDS + "SELECT source, term, n FROM c WHERE n >= 20",
+    "bow_counts": _WORDS + "SELECT source, term, n FROM c",
+    "bow_matrix": _WORDS + "SELECT doc_id, source, term, count(*) AS n FROM t GROUP BY ALL",
     "ctfidf_top_words": _WORDS + """, k AS (SELECT source, sum(n) AS words FROM c GROUP BY ALL), f AS (SELECT term, sum(n) AS frequency FROM c GROUP BY ALL),
-        x AS (SELECT source, term, sqrt(n / words::DOUBLE) * ln(1 + (SELECT floor(avg(words)) FROM k) / greatest(frequency, 1)::DOUBLE) AS weight FROM c JOIN k USING (source) JOIN f USING (term))
-        SELECT source, rank::INT AS rank, round(weight, 6) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY round(weight, 9) DESC, term) AS rank FROM x) WHERE rank <= 20""",
+        x AS (SELECT c.source, term, sqrt(n / words::DOUBLE) * ln(1 + (SELECT floor(avg(words)) FROM k) / greatest(frequency, 1)::DOUBLE) AS weight FROM c JOIN k ON c.source IS NOT DISTINCT FROM k.source JOIN f USING (term))
+        SELECT source, rank::INT AS rank, term, round(weight, 6) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY round(weight, 9) DESC, term) AS rank FROM x) WHERE rank <= 20""",
     "text_view_head_mid_tail": """SELECT doc_id, length(v)::INT AS n, md5(v) AS view_md5 FROM (SELECT doc_id, CASE WHEN length(text) > 4000 THEN concat(left(text, 2000), chr(10),
         substr(text, ((length(text) - 1000) // 2 + 1)::INT, 1000), chr(10), right(text, 1000)) ELSE text END AS v FROM documents WHERE text IS NOT NULL)""",
     "chunk_weights": """WITH b AS (SELECT doc_id, source, len(list_filter(string_split_regex(text, '[ \\t\\n\\r\\f\\v]+'), lambda x: x <> '')) AS total FROM documents WHERE text IS NOT NULL),
@@ -364,6 +359,6 @@ SQL = {k: _M + s for k, s in {
 QUERIES = {f.__name__: f for f in (
     multilabel_edges, multilabel_lists, list_checks, hard_assign_margin, quality_by_topic, scope_apply, scope_reject_override,
     scope_sensitivity, threshold_metrics, lookup_threshold, topic_cards, cooccurrence_npmi, model_selection_rank,
-    selection_sensitivity, bow_counts, bow_counts_full, bow_matrix, ctfidf_top_words, ctfidf_top_words_full, text_view_head_mid_tail, chunk_weights, source_weights, nmf_fit_infer,
+    selection_sensitivity, bow_counts, bow_matrix, ctfidf_top_words, text_view_head_mid_tail, chunk_weights, source_weights, nmf_fit_infer,
     nmf_error, component_matching, weighted_pca, kmeans_assign, review_validation, ledger_latest,
 )}

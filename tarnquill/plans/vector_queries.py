@@ -1,4 +1,9 @@
-"""Queries of the vector operators: four of five vectors play papers with known topics, the rest are transferred."""
+"""Queries of the vector operators.
+
+Geometry goes over all vectors. Where topics are transferred the roles are: vectors whose number five divides come from
+other sources, the rest are papers; of the papers, those with remainder 4 calibrate and the others train. Searches take the
+vectors whose number a hundred divides as queries, against all references.
+"""
 
 from __future__ import annotations
 
@@ -21,8 +26,12 @@ def _others(spark: SparkSession, d: str) -> DataFrame:
     return _all(spark, d).where("vec_id % 5 = 0")
 
 
+def _queries(spark: SparkSession, d: str) -> DataFrame:
+    return _all(spark, d).where("vec_id % 100 = 0")
+
+
 def centroids(spark: SparkSession, d: str) -> DataFrame:
-    c = V.centroids(_papers(spark, d))
+    c = V.centroids(_all(spark, d))
     return c.select("label", "n", F.posexplode("centroid").alias("i", "x")).select("label", "n", "i", F.round("x", 6).alias("x"))
 
 
@@ -45,11 +54,11 @@ def argmax_recheck(spark: SparkSession, d: str) -> DataFrame:
 
 
 def center_separation(spark: SparkSession, d: str) -> DataFrame:
-    return V.centre_separation(V.centroids(_papers(spark, d))).select(*(F.round(c, 6).alias(c) for c in ("mean", "p90", "greatest")))
+    return V.centre_separation(V.centroids(_all(spark, d))).select(*(F.round(c, 6).alias(c) for c in ("mean", "p90", "greatest")))
 
 
 def simplified_silhouette(spark: SparkSession, d: str) -> DataFrame:
-    found = V.simplified_silhouette(_papers(spark, d), V.centroids(_papers(spark, d)))
+    found = V.simplified_silhouette(_all(spark, d), V.centroids(_all(spark, d)))
     return found.withColumn("silhouette", F.round("silhouette", 6))
 
 
@@ -62,13 +71,13 @@ def loo_cosine(spark: SparkSession, d: str) -> DataFrame:
 
 
 def davies_bouldin(spark: SparkSession, d: str) -> DataFrame:
-    return V.davies_bouldin(_papers(spark, d)).select(F.round("davies_bouldin", 6).alias("davies_bouldin"))
+    return V.davies_bouldin(_all(spark, d)).select(F.round("davies_bouldin", 6).alias("davies_bouldin"))
 
 
 def knn10_agreement(spark: SparkSession, d: str) -> DataFrame:
-    """Share of the ten nearest with the own label, as it is and adjusted for chance."""
+    """Share of the queries' ten nearest with the own label, as it is and adjusted for chance."""
     rows = _all(spark, d).select("vec_id", "label")
-    near = V.neighbours(_all(spark, d), _all(spark, d), 10)
+    near = V.neighbours(_queries(spark, d), _all(spark, d), 10)
     own = near.join(rows.select(F.col("vec_id").alias("query_id"), F.col("label").alias("own")), "query_id").join(rows, "vec_id")
     share = own.agg(F.avg((F.col("own") == F.col("label")).cast("double")).alias("agreement"))
     sizes = rows.groupBy("label").agg(F.count("*").alias("s"))
@@ -89,7 +98,7 @@ def _edges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _near(spark: SparkSession, d: str, k: int = 20) -> DataFrame:
-    return V.neighbours(_others(spark, d), _papers(spark, d), k)
+    return V.neighbours(_queries(spark, d), _papers(spark, d), k)
 
 
 def knn_projection(spark: SparkSession, d: str) -> DataFrame:
@@ -97,33 +106,50 @@ def knn_projection(spark: SparkSession, d: str) -> DataFrame:
     return found.select("query_id", "topic_id", F.round("p", 6).alias("p"), F.round("s1", 6).alias("s1"))
 
 
-def projection_grid_f1(spark: SparkSession, d: str) -> DataFrame:
-    """Micro precision, recall and F1 of projected topics over neighbours, gates and thresholds."""
+NEIGHBOUR_NUMBERS, GATES, THRESHOLDS = (5, 10, 20), (0.0, 0.2, 0.4), (0.05, 0.1, 0.3)
+
+
+def _grid(spark: SparkSession, d: str, *halves: str) -> DataFrame:
+    """Micro counts and F1 of projected topics over neighbours, gates and thresholds, from one search."""
     near, edges = _near(spark, d), _edges(spark, d)
-    truth = _others(spark, d).select(F.col("vec_id").alias("query_id"), F.col("label").alias("topic_id"), F.lit(1).alias("actual"))
-    parts = None
-    for n in (5, 10, 20):
-        part = V.projected(near, edges, n).withColumn("n", F.lit(n))
-        parts = part if parts is None else parts.unionByName(part)
-    numbers = truth.withColumn("n", F.explode(F.array(F.lit(5), F.lit(10), F.lit(20))))
-    both = parts.join(numbers, ["query_id", "topic_id", "n"], "full_outer")
-    grid = both.withColumn("gate", F.explode(F.array(*map(F.lit, (0.0, 0.2, 0.4))))).withColumn("t", F.explode(F.array(*map(F.lit, (0.05, 0.1, 0.3)))))
+    numbers = F.explode(F.array(*map(F.lit, NEIGHBOUR_NUMBERS))).alias("n")
+    parts = V.projected(near.select("*", numbers), edges, within=("n",))
+    half = (F.pmod(F.col("query_id") / 100, F.lit(2))).cast("int").alias("half")
+    truth = _queries(spark, d).select(F.col("vec_id").alias("query_id"), F.col("label").alias("topic_id"), F.lit(1).alias("actual"), numbers)
+    both = parts.join(truth, ["query_id", "topic_id", "n"], "full_outer").select("*", half)
+    grid = both.withColumn("gate", F.explode(F.array(*map(F.lit, GATES)))).withColumn("t", F.explode(F.array(*map(F.lit, THRESHOLDS))))
     predicted = F.coalesce((F.round("p", 6) >= F.col("t")) & (F.round("s1", 6) >= F.col("gate")), F.lit(False))
     actual = F.col("actual").isNotNull()
-    sums = grid.groupBy("n", "gate", "t").agg(
+    sums = grid.groupBy(*halves, "n", "gate", "t").agg(
         F.count_if(predicted & actual).alias("tp"), F.count_if(predicted & ~actual).alias("fp"), F.count_if(~predicted & actual).alias("fn")
     )
     return sums.withColumn("f1", F.round(F.coalesce(F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")), F.lit(0.0)), 6))
 
 
-def _margins(spark: SparkSession, d: str, side: DataFrame) -> DataFrame:
-    top = V.nearest_centroids(side, V.centroids(_papers(spark, d)), 2)
+def projection_grid_f1(spark: SparkSession, d: str) -> DataFrame:
+    """Micro precision, recall and F1 of projected topics over neighbours, gates and thresholds."""
+    return _grid(spark, d)
+
+
+def projection_confirmed(spark: SparkSession, d: str) -> DataFrame:
+    """The setting with the best F1 on one half of the queries (equal ones: fewer neighbours, lower gate and threshold), with
+    its F1 on the other half, which had no part in the choice."""
+    grid = _grid(spark, d, "half")  # twice 27 rows
+    best = grid.where("half = 0").agg(F.min(F.struct((-F.col("f1")).alias("less"), "n", "gate", "t")).alias("b")).select("b.n", "b.gate", "b.t", (-F.col("b.less")).alias("chosen_f1"))
+    other = grid.where("half = 1").select("n", "gate", "t", F.col("f1").alias("confirmed_f1"))
+    return best.join(other, ["n", "gate", "t"])
+
+
+def _margins(side: DataFrame, centres: DataFrame) -> DataFrame:
+    top = V.nearest_centroids(side, centres, 2)
     pick = lambda r: F.max(F.when(F.col("rank") == r, F.col("cosine")))
     return top.groupBy("vec_id").agg(pick(1).alias("cosine"), (pick(1) - pick(2)).alias("margin"))
 
 
 def confidence_p10(spark: SparkSession, d: str) -> DataFrame:
-    return _margins(spark, d, _papers(spark, d)).agg(
+    """Tenth percentiles of cosine and margin of papers that had no part in the centroids."""
+    papers = _papers(spark, d)
+    return _margins(papers.where("vec_id % 5 = 4"), V.centroids(papers.where("vec_id % 5 <> 4"))).agg(
         F.round(F.percentile("cosine", 0.1), 6).alias("cosine_p10"), F.round(F.percentile("margin", 0.1), 6).alias("margin_p10")
     )
 
@@ -132,7 +158,7 @@ def transfer_flags(spark: SparkSession, d: str) -> DataFrame:
     """Transferred vectors that fall below the calibrated thresholds; all need review."""
     limits = confidence_p10(spark, d).first()
     low_cosine, low_margin = F.round("cosine", 6) < limits.cosine_p10, F.round("margin", 6) < limits.margin_p10
-    return _margins(spark, d, _others(spark, d)).select(
+    return _margins(_others(spark, d), V.centroids(_papers(spark, d))).select(
         "vec_id", low_cosine.alias("low_cosine"), low_margin.alias("low_margin"), (~low_cosine & ~low_margin).alias("filter_passed"),
         F.lit(True).alias("needs_review"),
     )
@@ -170,23 +196,38 @@ cen AS (SELECT label, n, mean, list_transform(mean, lambda x: x / sqrt(list_dot_
 cosines AS (SELECT vec_id, vec_id % 5 = 0 AS other, v.label AS own_label, cen.label AS topic_id, round(list_dot_product(u, c), 9) AS cosine FROM v, cen),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, topic_id) AS rank FROM cosines),
 near AS (SELECT * FROM (SELECT q.vec_id AS query_id, r.vec_id, round(list_dot_product(q.u, r.u), 9) AS cosine,
-         row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_dot_product(q.u, r.u), 9) DESC, r.vec_id) AS rank FROM others q, papers r) WHERE rank <= 20),
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_dot_product(q.u, r.u), 9) DESC, r.vec_id) AS rank FROM v q, papers r WHERE q.vec_id % 100 = 0) WHERE rank <= 20),
 edges AS (SELECT vec_id, label AS topic_id, 0.7::DOUBLE AS p FROM papers UNION ALL SELECT vec_id, (label + 1) % 10, 0.3::DOUBLE FROM papers),
 ns AS (SELECT unnest([5, 10, 20]) AS n),
 w AS (SELECT n, query_id, vec_id, s1, exp((cosine - s1) / 0.05) AS w FROM (SELECT n, near.*, max(cosine) OVER (PARTITION BY n, query_id) AS s1 FROM near, ns WHERE rank <= n)),
 proj AS (SELECT n, query_id, topic_id, sum(w / total * p) AS p, max(s1) AS s1 FROM (SELECT *, sum(w) OVER (PARTITION BY n, query_id) AS total FROM w) JOIN edges USING (vec_id) GROUP BY ALL),
 margins AS (SELECT vec_id, other, max(cosine) FILTER (WHERE rank = 1) AS cosine, max(cosine) FILTER (WHERE rank = 1) - max(cosine) FILTER (WHERE rank = 2) AS margin FROM ranked GROUP BY ALL),
-limits AS (SELECT round(quantile_cont(cosine, 0.1), 6) AS cosine_p10, round(quantile_cont(margin, 0.1), 6) AS margin_p10 FROM margins WHERE NOT other),
+tlong AS (SELECT label, generate_subscripts(e, 1) AS i, unnest(e) AS x FROM papers WHERE vec_id % 5 <> 4),
+tcen AS (SELECT label, list(x ORDER BY i) AS m FROM (SELECT label, i, avg(x) AS x FROM tlong GROUP BY ALL) GROUP BY label),
+tcos AS (SELECT vec_id, round(list_dot_product(u, m) / sqrt(list_dot_product(m, m)), 9) AS cosine, row_number() OVER (PARTITION BY vec_id ORDER BY round(list_dot_product(u, m) / sqrt(list_dot_product(m, m)), 9) DESC) AS r
+         FROM papers, tcen WHERE vec_id % 5 = 4),
+tmar AS (SELECT vec_id, max(cosine) FILTER (WHERE r = 1) AS cosine, max(cosine) FILTER (WHERE r = 1) - max(cosine) FILTER (WHERE r = 2) AS margin FROM tcos GROUP BY ALL),
+limits AS (SELECT round(quantile_cont(cosine, 0.1), 6) AS cosine_p10, round(quantile_cont(margin, 0.1), 6) AS margin_p10 FROM tmar),
 totals AS (SELECT label, count(DISTINCT vec_id) AS n, list(x ORDER BY i) AS total FROM (SELECT label, i, min(vec_id) AS vec_id, sum(x) AS x FROM (SELECT vec_id, label, generate_subscripts(u, 1) AS i, unnest(u) AS x FROM v) GROUP BY label, i) GROUP BY label),
 sizes AS (SELECT label, count(*) AS s FROM v GROUP BY ALL)
 """
 
 _SIZES = "WITH s AS (SELECT category_id, count(*) AS x FROM population WHERE category_id <> '' GROUP BY ALL)"
 
-SQL = {k: _BASE + s for k, s in {
+_GRID = """, truth AS (SELECT vec_id AS query_id, label AS topic_id, n FROM v, ns WHERE vec_id % 100 = 0),
+        g AS (SELECT (query_id // 100) % 2 AS half, n, gate, t, coalesce(round(p, 6) >= t AND round(s1, 6) >= gate, false) AS predicted, tr.query_id IS NOT NULL AS actual
+              FROM proj FULL JOIN truth tr USING (n, query_id, topic_id), (SELECT unnest([0.0, 0.2, 0.4])::DOUBLE AS gate), (SELECT unnest([0.05, 0.1, 0.3])::DOUBLE AS t)),
+"""
+
+#: queries over all vectors: nobody is transferred
+_WHOLE = ("centroids", "center_separation", "simplified_silhouette", "davies_bouldin")
+_ALL = _BASE.replace("papers AS (SELECT * FROM v WHERE vec_id % 5 <> 0)", "papers AS (SELECT * FROM v)")
+
+SQL = {k: (_ALL if k in _WHOLE else _BASE) + s for k, s in {
     "centroids": "SELECT label, n, (unnest(range(len(c))))::INT AS i, round(unnest(c), 6) AS x FROM cen",
     "nearest_centroid_top3": "SELECT vec_id, rank::INT AS rank, topic_id, round(cosine, 6) AS cosine FROM ranked WHERE other AND rank <= 3",
-    "argmax_recheck": "SELECT count(*) AS checked, 0::BIGINT AS mismatches FROM others",
+    "argmax_recheck": """SELECT count(*) AS checked, count(*) FILTER (WHERE abs(c - g) > 2e-6) AS mismatches FROM (SELECT vec_id, max(cosine) FILTER (WHERE rank = 1) AS c, max(list_dot_product(o.u, cen.c)) AS g
+        FROM ranked JOIN others o USING (vec_id) JOIN cen ON cen.label = ranked.topic_id GROUP BY vec_id)""",
     "center_separation": """SELECT round(avg(m), 6) AS mean, round(quantile_cont(m, 0.9), 6) AS p90, round(max(m), 6) AS greatest
         FROM (SELECT a.label, max(round(list_dot_product(a.c, b.c), 9)) AS m FROM cen a, cen b WHERE a.label <> b.label GROUP BY ALL)""",
     "simplified_silhouette": """, d AS (SELECT p.vec_id, p.label, max(list_dot_product(u, c)) FILTER (WHERE cen.label = p.label) AS own, max(list_dot_product(u, c)) FILTER (WHERE cen.label <> p.label) AS other,
@@ -199,15 +240,15 @@ SQL = {k: _BASE + s for k, s in {
         SELECT vec_id, label, round(list_dot_product(u, rest) / sqrt(list_dot_product(rest, rest)), 6) AS cosine FROM p""",
     "davies_bouldin": """, s AS (SELECT label, mean, avg(list_distance(e, mean)) AS s FROM papers JOIN cen USING (label) GROUP BY ALL)
         SELECT round(avg(r), 6) AS davies_bouldin FROM (SELECT a.label, max((a.s + b.s) / list_distance(a.mean, b.mean)) AS r FROM s a, s b WHERE a.label <> b.label GROUP BY ALL)""",
-    "knn10_agreement": """, k AS (SELECT a.label AS own, b.label, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_dot_product(a.u, b.u), 9) DESC, b.vec_id) AS r FROM v a, v b WHERE a.vec_id <> b.vec_id),
+    "knn10_agreement": """, k AS (SELECT a.label AS own, b.label, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_dot_product(a.u, b.u), 9) DESC, b.vec_id) AS r FROM v a, v b WHERE a.vec_id <> b.vec_id AND a.vec_id % 100 = 0),
         x AS (SELECT avg((own = label)::INT) AS agreement FROM k WHERE r <= 10), y AS (SELECT sum(s * (s - 1)) / (sum(s) * (sum(s) - 1))::DOUBLE AS chance FROM sizes)
         SELECT round(agreement, 6) AS agreement, round(chance, 6) AS chance, round((agreement - chance) / (1 - chance), 6) AS adjusted FROM x, y""",
     "knn_projection": "SELECT query_id, topic_id, round(p, 6) AS p, round(s1, 6) AS s1 FROM proj WHERE n = 10",
-    "projection_grid_f1": """, truth AS (SELECT vec_id AS query_id, label AS topic_id, n FROM others, ns),
-        g AS (SELECT n, gate, t, coalesce(round(p, 6) >= t AND round(s1, 6) >= gate, false) AS predicted, tr.query_id IS NOT NULL AS actual
-              FROM proj FULL JOIN truth tr USING (n, query_id, topic_id), (SELECT unnest([0.0, 0.2, 0.4])::DOUBLE AS gate), (SELECT unnest([0.05, 0.1, 0.3])::DOUBLE AS t)),
-        c AS (SELECT n, gate, t, count(*) FILTER (WHERE predicted AND actual) AS tp, count(*) FILTER (WHERE predicted AND NOT actual) AS fp, count(*) FILTER (WHERE NOT predicted AND actual) AS fn FROM g GROUP BY ALL)
+    "projection_grid_f1": _GRID + """c AS (SELECT n, gate, t, count(*) FILTER (WHERE predicted AND actual) AS tp, count(*) FILTER (WHERE predicted AND NOT actual) AS fp, count(*) FILTER (WHERE NOT predicted AND actual) AS fn FROM g GROUP BY ALL)
         SELECT *, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0)::DOUBLE, 0), 6) AS f1 FROM c""",
+    "projection_confirmed": _GRID + """c AS (SELECT half, n, gate, t, round(coalesce(2 * count(*) FILTER (WHERE predicted AND actual) / nullif(count(*) FILTER (WHERE predicted) + count(*) FILTER (WHERE actual), 0)::DOUBLE, 0), 6) AS f1 FROM g GROUP BY ALL),
+        b AS (SELECT * FROM c WHERE half = 0 ORDER BY f1 DESC, n, gate, t LIMIT 1)
+        SELECT b.n, b.gate, b.t, b.f1 AS chosen_f1, o.f1 AS confirmed_f1 FROM b JOIN c o ON o.half = 1 AND o.n = b.n AND o.gate = b.gate AND o.t = b.t""",
     "confidence_p10": "SELECT * FROM limits",
     "transfer_flags": """SELECT vec_id, round(cosine, 6) < cosine_p10 AS low_cosine, round(margin, 6) < margin_p10 AS low_margin,
         NOT (round(cosine, 6) < cosine_p10) AND NOT (round(margin, 6) < margin_p10) AS filter_passed, true AS needs_review FROM margins, limits WHERE other""",
@@ -222,6 +263,6 @@ SQL = {k: _BASE + s for k, s in {
 
 QUERIES = {f.__name__: f for f in (
     centroids, nearest_centroid_top3, argmax_recheck, center_separation, simplified_silhouette, cosine_silhouette, loo_cosine,
-    davies_bouldin, knn10_agreement, knn_projection, projection_grid_f1, confidence_p10, transfer_flags, ari_labels, size_gini,
+    davies_bouldin, knn10_agreement, knn_projection, projection_grid_f1, projection_confirmed, confidence_p10, transfer_flags, ari_labels, size_gini,
     effective_topics,
 )}

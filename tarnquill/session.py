@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "tarnquill", master: str | None = None, **conf: str) -> SparkSession:
@@ -54,3 +55,18 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager)
+
+
+def numbered(rows: DataFrame, order: str, name: str, first: int = 0) -> DataFrame:
+    """Adds the place of each row in the order of a column, from ``first``, without bringing all rows to one task: ranges
+    are sorted and counted, and each range is numbered on from those before (their counts, one number per range)."""
+    placed = rows.repartitionByRange(order).sortWithinPartitions(order).select(
+        "*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().bitwiseAND(2**33 - 1).alias("__place")
+    )
+    placed = cut_lineage(placed)
+    before, offsets = first, []
+    for r in placed.groupBy("__part").agg(F.count("*").alias("n")).orderBy("__part").collect():
+        offsets.append((r[0], before))
+        before += r.n
+    counted = rows.sparkSession.createDataFrame(offsets, "__part int, __before bigint")
+    return placed.join(F.broadcast(counted), "__part").select(*rows.columns, (F.col("__before") + F.col("__place")).alias(name))

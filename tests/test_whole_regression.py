@@ -21,5 +21,5 @@ def test_every_lost_relation_is_reported(spark, tmp_path):
     held = {(r.row_id, r.keyword_id) for r in Q.K.withheld(Q._Tables(spark, str(tmp_path)).obs).collect()}
     lost = {(r, f"KWD-T{i:02}") for i, k in enumerate(ids) for r in rows if (r, k) in held}
     assert {r for r, _ in lost} == {97, 970}
-    found = {(r.row_id, r.topic_code): r.still_assigned for r in Q.QUERIES["kwd_regression_all"](spark, str(tmp_path)).collect()}
+    found = {(r.row_id, r.topic_code): r.still_assigned for r in Q.QUERIES["kwd_regression"](spark, str(tmp_path)).collect()}
     assert found == {(r, f"KWD-T{i:02}"): (r, f"KWD-T{i:02}") not in lost for i in range(12) for r in rows}

@@ -37,7 +37,7 @@ def test_counts_equal_brute_force(spark, tmp_path):
     counts = Counter()
     for (_, s, t), n in matrix.items():
         counts[s, t] += n
-    assert {(r.source, r.term): r.n for r in Q.QUERIES["bow_counts_full"](spark, d).collect()} == counts
+    assert {(r.source, r.term): r.n for r in Q.QUERIES["bow_counts"](spark, d).collect()} == counts
     assert {("paper", "énergie solaire"), ("paper", "能源 源站"), (None, "энергия ветра"), ("policy", "储能")} <= set(counts)
     words, frequency = Counter(), Counter()
     for (s, t), n in counts.items():
@@ -49,4 +49,4 @@ def test_counts_equal_brute_force(spark, tmp_path):
     for s in words:
         order = sorted((t for c, t in weight if c == s), key=lambda t: (-round(weight[s, t], 9), t.encode()))
         best |= {(s, r): (t, round(weight[s, t], 6)) for r, t in enumerate(order[:20], 1)}
-    assert {(r.source, r["rank"]): (r.term, r.weight) for r in Q.QUERIES["ctfidf_top_words_full"](spark, d).collect()} == best
+    assert {(r.source, r["rank"]): (r.term, r.weight) for r in Q.QUERIES["ctfidf_top_words"](spark, d).collect()} == best
