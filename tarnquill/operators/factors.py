@@ -1,14 +1,16 @@
 """Nonnegative factorisation, weighted PCA and clusters.
 
 The topic matrix has topics x vocabulary entries: a bounded model that lives on the driver and goes to every task; the
-documents never leave the executors. Each pass solves every document's weights on its own (a fixed number of steps from
-the document's mean, so the result doesn't depend on how rows are batched), sums partial products inside the task, and
-adds the partials per topic.
+documents never leave the executors. Each pass solves every document's weights on its own (multiplicative steps from the
+document's mean until they settle, so the result doesn't depend on how rows are batched), sums partial products inside
+the task, and adds the partials by blocks of columns in a tree. ``fit`` updates the topics after each whole pass,
+``fit_online`` after each mini-batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -16,9 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnquill.functions.assignment import least_cost
+from tarnquill.operators.integrity import ContractError
+from tarnquill.operators.vectors import adjusted_rand
+from tarnquill.session import kept_folder
 
 EPS = float(np.finfo(np.float32).eps)
-MOST_CELLS = 64_000_000
+MOST_CELLS = 32_000_000
 #: Epochs after which a fit ends that hasn't settled.
 MOST_EPOCHS = 60
 
@@ -27,7 +32,7 @@ def sparse_rows(weights: DataFrame, index: DataFrame) -> DataFrame:
     """(row_id, cols, vals) from (row_id, keyword_id, weight) and (keyword_id, col)."""
     cells = weights.join(index, "keyword_id")
     return cells.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("col", "weight"))).alias("c")).select(
-        "row_id", F.transform("c", lambda x: x["col"]).alias("cols"), F.transform("c", lambda x: x["weight"]).alias("vals")
+        "row_id", F.transform("c", lambda x: x["col"].cast("int")).alias("cols"), F.transform("c", lambda x: x["weight"]).alias("vals")
     )
 
 
@@ -42,67 +47,174 @@ def solve(cols: np.ndarray, vals: np.ndarray, h: np.ndarray, gram: np.ndarray, s
     return w
 
 
-def solve_rows(part: pd.DataFrame, h: np.ndarray, gram: np.ndarray, steps: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """``solve`` for pieces of a batch: (weights, numerators, row of each cell, its column, its value)."""
+def solve_rows(
+    part: pd.DataFrame, h: np.ndarray, gram: np.ndarray, steps: int, tolerance: float = 0.0
+) -> Iterator[tuple[np.ndarray, ...]]:
+    """``solve`` for pieces of a batch: (weights, numerators, row of each cell, its column, its value). A row whose weights
+    change by no more than ``tolerance`` of their length is done; rows don't wait for each other, so the result of a row
+    doesn't depend on its batch."""
     turned = np.ascontiguousarray(h.T)
     for at in range(0, len(part), 1024):
-        cols, vals = ([np.asarray(x, kind) for x in part[name].iloc[at : at + 1024]] for name, kind in (("cols", int), ("vals", float)))
-        row = np.repeat(np.arange(len(cols)), [len(c) for c in cols])
+        cols, vals = ([np.asarray(x, kind) for x in part[name].iloc[at : at + 1024]] for name, kind in (("cols", int), ("vals", h.dtype)))
+        sizes = np.array([len(c) for c in cols])
+        row = np.repeat(np.arange(len(cols)), sizes)
         col, val = np.concatenate(cols), np.concatenate(vals)
-        numerator = np.zeros((len(cols), len(h)))
-        np.add.at(numerator, row, turned[col] * val[:, None])
+        numerator = np.zeros((len(cols), len(h)), h.dtype)
+        some = sizes > 0
+        if len(col):
+            starts = (np.cumsum(sizes) - sizes)[some]
+            numerator[some] = np.add.reduceat(turned[col] * val[:, None], starts, axis=0)
         mass = np.maximum(np.bincount(row, val, len(cols)), 0.0)
-        w = np.repeat(np.sqrt(mass / h.shape[1] / len(h))[:, None], len(h), axis=1)
-        for _ in range(steps):
-            denominator = w @ gram
+        w = np.repeat(np.sqrt(mass / h.shape[1] / len(h))[:, None], len(h), axis=1).astype(h.dtype)
+        open_ = np.arange(len(cols))
+        for step in range(steps):
+            before = w[open_]
+            denominator = before @ gram
             denominator[denominator == 0] = EPS
-            w = w * numerator / denominator
+            after = before * numerator[open_] / denominator
+            w[open_] = after
+            if tolerance and step % 5 == 4:
+                moved = np.linalg.norm(after - before, axis=1) > tolerance * np.linalg.norm(after, axis=1)
+                open_ = open_[moved]
+                if not len(open_):
+                    break
         yield w, numerator, row, col, val
 
 
+#: Columns of the topic matrix that make one block of partial sums.
+BLOCK_COLUMNS = 2048
+_SUMS = "block int, branch int, cols array<int>, part binary"
+
+
+def _pass_sums(rows: DataFrame, h: np.ndarray, steps: int, tolerance: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(W'X as topics x terms, W'W, [square, cross, fitted], rows) of one pass with h fixed.
+
+    A task sums its rows sparsely: it sends, for each block of columns, only columns that its rows have. The blocks are
+    added in a tree: first over branches of about the root of the number of tasks, then over those.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(h)
+    branches = max(1, int(np.sqrt(rows.rdd.getNumPartitions())))
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        h = shared.value
+        gram, topics = h @ h.T, len(h)
+        slots, wx, ww = np.full(h.shape[1], -1), np.zeros((0, topics)), np.zeros((topics, topics))
+        used, totals = 0, np.zeros(4)
+        for part in parts:
+            for w, numerator, row, col, val in solve_rows(part, h, gram, steps, tolerance):
+                fresh = np.unique(col[slots[col] < 0])
+                slots[fresh] = used + np.arange(len(fresh))
+                used += len(fresh)
+                if used > len(wx):
+                    wx = np.concatenate([wx, np.zeros((max(used, 2 * len(wx)) - len(wx), topics))])
+                if len(col):
+                    order = np.argsort(col, kind="stable")
+                    starts = np.flatnonzero(np.r_[True, np.diff(col[order]) > 0])
+                    wx[slots[col[order][starts]]] += np.add.reduceat(w[row[order]] * val[order][:, None], starts, axis=0)
+                ww += w.T @ w
+                totals += [float(val @ val), float((w * numerator).sum()), float(((w @ gram) * w).sum()), len(w)]
+        branch = TaskContext.get().partitionId() % branches
+        yield pd.DataFrame({"block": [-1], "branch": [branch], "cols": [[]], "part": [np.r_[totals, ww.ravel()].tobytes()]})
+        have = np.flatnonzero(slots >= 0)
+        for block in np.unique(have // BLOCK_COLUMNS):
+            cols = have[have // BLOCK_COLUMNS == block]
+            yield pd.DataFrame({"block": [block], "branch": [branch], "cols": [cols.tolist()], "part": [wx[slots[cols]].tobytes()]})
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        block, branch = int(part["block"].iloc[0]), int(part["branch"].iloc[0])
+        values = [np.frombuffer(x) for x in part["part"]]
+        if block < 0:
+            cols, total = [], np.sum(values, axis=0)
+        else:
+            each = [np.asarray(c, int) for c in part["cols"]]
+            cols = np.unique(np.concatenate(each))
+            total = np.zeros((len(cols), len(shared.value)))
+            for c, v in zip(each, values):
+                total[np.searchsorted(cols, c)] += v.reshape(len(c), -1)
+            cols = cols.tolist()
+        return pd.DataFrame({"block": [block], "branch": [branch], "cols": [cols], "part": [total.tobytes()]})
+
+    sums = rows.select("cols", "vals").mapInPandas(run, _SUMS)
+    if branches > 4:
+        sums = sums.groupBy("block", "branch").applyInPandas(add, _SUMS)
+    found = sums.groupBy("block").applyInPandas(add, _SUMS).collect()  # the model's size, bounded by MOST_CELLS
+    wx, topics = np.zeros((h.shape[1], len(h))), len(h)
+    for r in found:
+        if r.block < 0:
+            head = np.frombuffer(r.part)
+        else:
+            wx[r.cols] = np.frombuffer(r.part).reshape(len(r.cols), -1)
+    return wx.T, head[4:].reshape(topics, topics), head[:3], int(head[3])
+
+
+def _error(square: float, cross: float, fitted: float) -> float:
+    return float(np.sqrt(max(square - 2 * cross + fitted, 0.0) / max(square, 1e-30)))
+
+
+def _start(topics: int, n_terms: int, seed: int) -> np.ndarray:
+    if n_terms * topics > MOST_CELLS:
+        raise ValueError("the topic matrix is too large for the driver")
+    return np.random.default_rng(seed).random((topics, n_terms)) / np.sqrt(topics)
+
+
 def fit(
-    rows: DataFrame, n_terms: int, topics: int, epochs: int = 5, steps: int = 30, seed: int = 17, inner: int = 1, settle: float | None = None
+    rows: DataFrame, n_terms: int, topics: int, epochs: int = 5, steps: int = 30, seed: int = 17, inner: int = 1, settle: float | None = None,
+    tolerance: float = 1e-4,
 ) -> tuple[np.ndarray, list[float]]:
     """(h, relative error before each update). Each epoch makes ``inner`` updates of h from the sums of one pass. With
     ``settle``, epochs go on until the error falls by no more than this share of it, and the last error is that of h."""
-    if n_terms * topics > MOST_CELLS:
-        raise ValueError("the topic matrix is too large for the driver")
-    h = np.random.default_rng(seed).random((topics, n_terms)) / np.sqrt(topics)
-    errors = []
+    h, errors = _start(topics, n_terms, seed), []
     for epoch in range(epochs if settle is None else MOST_EPOCHS):
-        shared = rows.sparkSession.sparkContext.broadcast(h)
-
-        def run(parts: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            h = shared.value
-            gram = h @ h.T
-            wx, ww, square, cross, fitted = np.zeros(h.T.shape), np.zeros((len(h), len(h))), 0.0, 0.0, 0.0
-            for part in parts:
-                for w, numerator, row, col, val in solve_rows(part, h, gram, steps):
-                    np.add.at(wx, col, w[row] * val[:, None])
-                    ww += w.T @ w
-                    square += val @ val
-                    cross += (w * numerator).sum()
-                    fitted += ((w @ gram) * w).sum()
-            sums = [np.r_[square, cross, fitted]] + [np.r_[ww[k], wx[:, k]] for k in range(len(h))]
-            yield pd.DataFrame({"k": range(-1, len(h)), "part": [x.tolist() for x in sums]})
-
-        def add(part: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"k": [part["k"].iloc[0]], "part": [np.sum(np.stack(part["part"].to_list()), axis=0).tolist()]})
-
-        kinds = "k int, part array<double>"
-        partial = rows.select("cols", "vals").mapInPandas(run, kinds)
-        total = {r.k: np.array(r.part) for r in partial.groupBy("k").applyInPandas(add, kinds).collect()}  # one row per topic
-        square, cross, fitted = total[-1]
-        errors.append(float(np.sqrt(max(square - 2 * cross + fitted, 0.0) / max(square, 1e-30))))
+        a, b, sums, _ = _pass_sums(rows, h, steps, tolerance)
+        errors.append(_error(*sums))
         if settle is not None and epoch + 1 >= max(epochs, 2) and errors[-2] - errors[-1] <= settle * errors[-2]:
             break
-        a = np.stack([total[k][topics:] for k in range(topics)])
-        b = np.stack([total[k][:topics] for k in range(topics)])
         for _ in range(inner):
             h = h * a / np.maximum(b @ h, EPS)
     return h, errors
 
 
+class OnlineFit(NamedTuple):
+    h: np.ndarray
+    errors: list[float]
+    visits: int
+
+
+def fit_online(
+    rows: DataFrame, n_terms: int, topics: int, epochs: int = 5, batches: int = 8, steps: int = 30, seed: int = 17, forget: float = 1.0,
+    tolerance: float = 1e-4, diagnostic: int = 1024,
+) -> OnlineFit:
+    """A fit in mini-batches: every row is in one of ``batches`` batches and is visited once an epoch, the batches in an order
+    of their own each epoch. After a batch the running sums A and B, the older ones weighted by ``forget``, give h = A / B.
+
+    ``errors`` has the relative error over ``diagnostic`` rows (the first by a hash) after each epoch; they only measure.
+    The visits are counted in the tasks and have to be the epochs times the rows.
+    """
+    spark = rows.sparkSession
+    path = kept_folder(spark, "batches")
+    spread = rows.select("row_id", F.col("cols").cast("array<int>"), F.col("vals").cast("array<double>")).repartition(max(spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()))
+    spread.withColumn("batch", F.pmod(F.xxhash64("row_id"), F.lit(batches)).cast("int")).write.partitionBy("batch").parquet(path)
+    kept = spark.read.schema("row_id bigint, cols array<int>, vals array<double>, batch int").parquet(path)
+    sample = kept.orderBy(F.xxhash64("row_id"), "row_id").limit(diagnostic).select("cols", "vals").toPandas()
+    h, a, b, visits, errors = _start(topics, n_terms, seed), 0.0, 0.0, 0, []
+    for epoch in range(epochs):
+        for batch in np.random.default_rng([seed, epoch]).permutation(batches):
+            wx, ww, _, n = _pass_sums(kept.where(F.col("batch") == int(batch)), h.astype(np.float32), steps, tolerance)
+            visits += n
+            if n:
+                a, b = forget * a + h * wx, forget * b + ww @ h
+                h = a / np.maximum(b, EPS)
+        sums = np.zeros(3)
+        for w, numerator, _, _, val in solve_rows(sample, h, h @ h.T, 200, tolerance):
+            sums += [val @ val, (w * numerator).sum(), ((w @ (h @ h.T)) * w).sum()]
+        errors.append(_error(*sums))
+    if visits != epochs * kept.count():
+        raise ContractError(f"{visits} visits of {epochs} x {kept.count()} rows")
+    return OnlineFit(h, errors, visits)
+
+
 def infer(rows: DataFrame, h: np.ndarray, steps: int = 60) -> DataFrame:
     """(row_id, topic_id, contribution): weights times the length of the topic's row, so scaling of factors cancels."""
     shared = rows.sparkSession.sparkContext.broadcast(h)
@@ -120,6 +232,32 @@ def infer(rows: DataFrame, h: np.ndarray, steps: int = 60) -> DataFrame:
     return rows.mapInPandas(run, "row_id bigint, topic_id int, contribution double")
 
 
+def infer_hard(rows: DataFrame, h: np.ndarray, steps: int = 200, tolerance: float = 1e-4) -> DataFrame:
+    """(row_id, topic_id, top1, margin): the topic of the greatest contribution, its share of the row's and the distance to
+    the second, found in the pass itself; -1 without mass, ties to the lower topic."""
+    shared = rows.sparkSession.sparkContext.broadcast(h.astype(np.float32))
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        h = shared.value
+        gram, length = h @ h.T, np.linalg.norm(h.astype(float), axis=1)
+        for part in parts:
+            at = 0
+            for w, *_ in solve_rows(part, h, gram, steps, tolerance):
+                mass = (w * length).sum(axis=1)
+                some = mass > 1e-12
+                p = np.round(w * length / np.maximum(mass, 1e-12)[:, None], 9)
+                best = p.argmax(axis=1)
+                top = p[np.arange(len(p)), best]
+                p[np.arange(len(p)), best] = 0.0
+                yield pd.DataFrame({
+                    "row_id": part["row_id"].iloc[at : at + len(w)].to_numpy(), "topic_id": np.where(some, best, -1).astype(np.int32),
+                    "top1": np.where(some, top, 0.0), "margin": np.where(some, top - p.max(axis=1), 0.0),
+                })
+                at += len(w)
+
+    return rows.mapInPandas(run, "row_id bigint, topic_id int, top1 double, margin double")
+
+
 def matched_components(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, float]]:
     """Pairs of topics of two models with the greatest total cosine."""
     unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
@@ -127,6 +265,21 @@ def matched_components(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, flo
     return [(i, j, float(cosine[i, j])) for i, j in enumerate(least_cost((1 - cosine).tolist()))]
 
 
+def stability(rows: DataFrame, base: np.ndarray, other: np.ndarray) -> DataFrame:
+    """(matched_topics, cosine_mean, cosine_p10, ari): topics of two models matched, and the agreement of the rows' labels
+    where both models give one."""
+    pairs = matched_components(base, other)
+    cosines = np.array([c for _, _, c in pairs])
+    mapped = F.create_map(*(F.lit(x) for i, j, _ in pairs for x in (j, i)))
+    left = infer_hard(rows, base).where("topic_id >= 0").select("row_id", F.col("topic_id").alias("a"))
+    right = infer_hard(rows, other).where("topic_id >= 0").select("row_id", mapped[F.col("topic_id")].alias("b")).where("b IS NOT NULL")
+    agreed = adjusted_rand(left.join(right, "row_id"), "a", "b")
+    return agreed.select(
+        F.lit(len(pairs)).alias("matched_topics"), F.lit(float(cosines.mean())).alias("cosine_mean"),
+        F.lit(float(np.quantile(cosines, 0.1))).alias("cosine_p10"), "ari",
+    )
+
+
 def near_duplicates(h: np.ndarray, least: float = 0.95) -> list[tuple[int, int, float]]:
     """Topic pairs of one model whose rows point the same way."""
     unit = h / np.maximum(np.linalg.norm(h, axis=1, keepdims=True), 1e-12)
@@ -174,7 +327,7 @@ def clusters(vectors: DataFrame, k: int, seed: int = 17) -> DataFrame:
             if part.empty:
                 continue
             x = np.array(part["embedding"].tolist(), float)
-            distance = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2)
+            distance = (x * x).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(axis=1)
             order = np.argsort(distance, axis=1, kind="stable")
             rows_ = np.arange(len(part))
             second = order[:, min(1, len(centres) - 1)]

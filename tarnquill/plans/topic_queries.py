@@ -25,6 +25,8 @@ ANCHOR = "energy|power|solar|wind|energi|энерг|能|chaleur|calor"
 #: The fits of the queries: the operator's epochs and steps at least, several updates of the topics an epoch, until the
 #: relative error falls by less than a thousandth of itself.
 SETTLED = {"inner": 20, "settle": 1e-3}
+#: Topics of the registered mini-batch fit.
+TOPICS = 450
 
 
 def _shares(t: _Tables) -> DataFrame:
@@ -203,24 +205,32 @@ def _features(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
     t = _Tables(spark, d)
     terms = cut_lineage(K.vocabulary(t.obs, t.papers))
     index = numbered(terms.select("keyword_id"), "keyword_id", "col")
-    return cut_lineage(N.sparse_rows(K.tfidf(t.obs, terms), index)), terms.count()
+    rows = N.sparse_rows(K.tfidf(t.obs, terms), index)
+    # small rows, dear to solve: as many tasks as there are cores at least
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return cut_lineage(rows.repartition(tasks)), terms.count()
 
 
 def nmf_fit_infer(spark: SparkSession, d: str) -> DataFrame:
-    """Each record's hard topic, share and margin by a factorisation fitted on the same tables."""
+    """Each record's hard topic, share and margin by a factorisation fitted on the same tables in mini-batches."""
     rows, n = _features(spark, d)
-    h, _ = N.fit(rows, n, 10, **SETTLED)
-    found = N.infer(rows, h).withColumnRenamed("contribution", "mass")
-    total = F.sum("mass").over(Window.partitionBy("row_id"))  # ten rows each
-    return M.hard_assignment(found.withColumn("p", F.col("mass") / F.greatest(total, F.lit(1e-12))))
+    return N.infer_hard(rows, N.fit_online(rows, n, TOPICS).h)
 
 
 def nmf_error(spark: SparkSession, d: str) -> DataFrame:
+    """The relative error of a fit by whole passes, pass by pass, until it settles."""
     rows, n = _features(spark, d)
     _, errors = N.fit(rows, n, 10, **SETTLED)
     return spark.createDataFrame([(i, float(e)) for i, e in enumerate(errors, 1)], "epoch int, relative_error double")
 
 
+def nmf_online_error(spark: SparkSession, d: str) -> DataFrame:
+    """The relative error of the mini-batch fit after each epoch, and the visits of rows."""
+    rows, n = _features(spark, d)
+    found = N.fit_online(rows, n, TOPICS)
+    return spark.createDataFrame([(i, float(e), found.visits) for i, e in enumerate(found.errors, 1)], "epoch int, relative_error double, visits bigint")
+
+
 def component_matching(spark: SparkSession, d: str) -> DataFrame:
     """Topics of two fits with different seeds, matched."""
     rows, n = _features(spark, d)
@@ -228,6 +238,18 @@ def component_matching(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(N.matched_components(a, b), "topic_id int, other_id int, cosine double")
 
 
+def component_stability(spark: SparkSession, d: str) -> DataFrame:
+    """A fit against one from another seed and one on four fifths of the records: matched topics, mean and tenth percentile
+    of their cosines, and agreement of the labels of all records."""
+    rows, n = _features(spark, d)
+    base = N.fit(rows, n, 6, **SETTLED)[0]
+    out = None
+    for variant, seed, part in (("seed", 29, rows), ("four_fifths", 17, rows.where(F.pmod(F.xxhash64("row_id"), F.lit(5)) != 0))):
+        one = N.stability(rows, base, N.fit(part, n, 6, seed=seed, **SETTLED)[0]).withColumn("variant", F.lit(variant))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def weighted_pca(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings").withColumn("weight", F.when(F.col("vec_id") % 5 == 0, 2.0).otherwise(1.0))
     mean, axes = N.weighted_pca(rows, 4)
@@ -360,5 +382,5 @@ QUERIES = {f.__name__: f for f in (
     multilabel_edges, multilabel_lists, list_checks, hard_assign_margin, quality_by_topic, scope_apply, scope_reject_override,
     scope_sensitivity, threshold_metrics, lookup_threshold, topic_cards, cooccurrence_npmi, model_selection_rank,
     selection_sensitivity, bow_counts, bow_matrix, ctfidf_top_words, text_view_head_mid_tail, chunk_weights, source_weights, nmf_fit_infer,
-    nmf_error, component_matching, weighted_pca, kmeans_assign, review_validation, ledger_latest,
+    nmf_error, nmf_online_error, component_matching, component_stability, weighted_pca, kmeans_assign, review_validation, ledger_latest,
 )}
