@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from tarnquill.operators.integrity import ContractError
 
-#: metric -> whether a low value is good
+#: Metric -> whether a low value is good
 DIRECTIONS = {
     "sampled_cosine_silhouette": False, "simplified_silhouette_mean": False, "davies_bouldin": True,
     "nearest_center_cosine_mean": True, "empty_topic_fraction": True, "keyword_embedding_ari": False,
@@ -23,16 +23,18 @@ def average_rank(value: Column, low_is_good: bool, within: list[str]) -> Column:
 
 def scored_candidates(
     metrics: DataFrame, directions: dict[str, bool] | None = None, low: int = 450, high: int = 550, centre: int = 500,
-    penalty: float | Column = 0.15, tolerance: float | Column = 0.05, within: tuple[str, ...] = (),
+    penalty: float | Column = 0.15, tolerance: float | Column = 0.05, within: tuple[str, ...] = (), omitted: Column | None = None,
 ) -> DataFrame:
     """Candidates in the window with mean rank, score and ``selected``. Within the tolerance of the best score the one
-    nearest the centre is chosen. ``within`` names columns of independent selections. Candidates are few."""
+    nearest the centre is chosen. ``within`` names columns of independent selections; ``omitted`` names a metric that a
+    selection leaves out ('' for none). Candidates are few."""
     directions = directions or DIRECTIONS
     within = list(within)
     rows = metrics.where(F.col("requested_k").between(low, high))
     for name, low_is_good in directions.items():
         rows = rows.withColumn(f"rank_{name}", average_rank(F.col(name), low_is_good, within))
-    mean = sum((F.col(f"rank_{n}") for n in directions), F.lit(0.0)) / len(directions)
+    left_out = F.lit("") if omitted is None else omitted
+    mean = sum((F.when(left_out == n, 0.0).otherwise(F.col(f"rank_{n}")) for n in directions), F.lit(0.0)) / F.when(left_out == "", len(directions)).otherwise(len(directions) - 1)
     away = F.abs(F.col("requested_k") - centre)
     penalty = penalty if isinstance(penalty, Column) else F.lit(penalty)
     tolerance = tolerance if isinstance(tolerance, Column) else F.lit(tolerance)

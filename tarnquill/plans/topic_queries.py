@@ -159,12 +159,18 @@ def model_selection_rank(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+#: The penalties and tolerances of the sensitivity grid.
+PENALTIES, TOLERANCES = (0.0, 0.05, 0.15, 0.30), (0.0, 0.01, 0.02, 0.05, 0.10)
+
+
 def selection_sensitivity(spark: SparkSession, d: str) -> DataFrame:
-    """The choice under four penalties and five tolerances."""
-    grid = _candidates(spark, d).withColumn("penalty", F.explode(F.array(*map(F.lit, (0.0, 0.1, 0.15, 0.3)))))
-    grid = grid.withColumn("tolerance", F.explode(F.array(*map(F.lit, (0.0, 0.02, 0.05, 0.1, 0.2)))))
-    scored = S.scored_candidates(grid, penalty=F.col("penalty"), tolerance=F.col("tolerance"), within=("penalty", "tolerance"))
-    return scored.where("selected").select("penalty", "tolerance", F.col("requested_k").alias("selected_k"))
+    """The choice under four penalties and five tolerances, and without each metric in turn."""
+    grid = [("preference_sensitivity", "", p, t) for p in PENALTIES for t in TOLERANCES]
+    grid += [("selection_metric_ablation", name, 0.15, 0.05) for name in S.DIRECTIONS]
+    settings = spark.createDataFrame(grid, "kind string, omitted_metric string, penalty double, tolerance double")  # 26 rows
+    rows = _candidates(spark, d).crossJoin(F.broadcast(settings))
+    scored = S.scored_candidates(rows, penalty=F.col("penalty"), tolerance=F.col("tolerance"), within=("kind", "omitted_metric", "penalty", "tolerance"), omitted=F.col("omitted_metric"))
+    return scored.where("selected").select("kind", "omitted_metric", "penalty", "tolerance", F.col("requested_k").alias("selected_k"))
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
@@ -300,13 +306,15 @@ WITH m AS (SELECT (400 + s_nationkey * 8)::INT AS requested_k, a AS sampled_cosi
   FROM (SELECT s_nationkey, round(avg(s_acctbal), 2) AS a, max(s_acctbal) AS b, min(s_acctbal) AS c, count(*) AS e FROM supplier GROUP BY ALL)
   JOIN (SELECT c_nationkey AS s_nationkey, count(*) AS f, round(avg(c_acctbal), 2) AS g FROM customer GROUP BY ALL) USING (s_nationkey)),
 k AS (SELECT * FROM m WHERE requested_k BETWEEN 450 AND 550),
-r AS (SELECT requested_k, (""" + " + ".join(
-    f"(SELECT count(*) FILTER (WHERE o.{n} {'<' if low else '>'} k.{n}) + (count(*) FILTER (WHERE o.{n} = k.{n}) + 1) / 2.0 FROM k o)" for n, low in S.DIRECTIONS.items()
-) + """) / 6 AS mean_metric_rank FROM k),
-g AS (SELECT unnest([0.0, 0.1, 0.15, 0.3])::DOUBLE AS penalty), h AS (SELECT unnest([0.0, 0.02, 0.05, 0.1, 0.2])::DOUBLE AS tolerance),
-s AS (SELECT *, round(mean_metric_rank + penalty * abs(requested_k - 500) / 50, 9) AS selection_score FROM r, g, h),
-tied AS (SELECT *, selection_score <= min(selection_score) OVER (PARTITION BY penalty, tolerance) + tolerance + 1e-9 AS within_practical_tie FROM s),
-o AS (SELECT *, row_number() OVER (PARTITION BY penalty, tolerance ORDER BY within_practical_tie DESC, abs(requested_k - 500), selection_score, requested_k) = 1 AS selected FROM tied)
+r AS (SELECT requested_k, """ + ", ".join(
+    f"(SELECT count(*) FILTER (WHERE o.{n} {'<' if low else '>'} k.{n}) + (count(*) FILTER (WHERE o.{n} = k.{n}) + 1) / 2.0 FROM k o) AS r_{n}" for n, low in S.DIRECTIONS.items()
+) + """ FROM k),
+g AS (SELECT 'preference_sensitivity' AS kind, '' AS omitted_metric, penalty, tolerance FROM (SELECT unnest([0.0, 0.05, 0.15, 0.3])::DOUBLE AS penalty), (SELECT unnest([0.0, 0.01, 0.02, 0.05, 0.1])::DOUBLE AS tolerance)
+  UNION ALL SELECT 'selection_metric_ablation', unnest(""" + str(list(S.DIRECTIONS)) + """), 0.15, 0.05),
+m2 AS (SELECT *, (""" + " + ".join(f"CASE WHEN omitted_metric = '{n}' THEN 0 ELSE r_{n} END" for n in S.DIRECTIONS) + """) / CASE WHEN omitted_metric = '' THEN 6 ELSE 5 END AS mean_metric_rank FROM r, g),
+s AS (SELECT *, round(mean_metric_rank + penalty * abs(requested_k - 500) / 50, 9) AS selection_score FROM m2),
+tied AS (SELECT *, selection_score <= min(selection_score) OVER (PARTITION BY kind, omitted_metric, penalty, tolerance) + tolerance + 1e-9 AS within_practical_tie FROM s),
+o AS (SELECT *, row_number() OVER (PARTITION BY kind, omitted_metric, penalty, tolerance ORDER BY within_practical_tie DESC, abs(requested_k - 500), selection_score, requested_k) = 1 AS selected FROM tied)
 """
 
 _WORDS = f"""
@@ -357,8 +365,8 @@ SQL = {k: _M + s for k, s in {
         {'rule': 'sum', 'b': abs(list_sum(ws) - retained) > 1e-6}]) AS x FROM ls)
         SELECT x.rule AS rule, count(*) FILTER (WHERE x.b) AS violations FROM bad GROUP BY ALL""",
     "model_selection_rank": _CAND + """SELECT requested_k, round(mean_metric_rank, 6) AS mean_metric_rank, round(selection_score, 6) AS selection_score, within_practical_tie, selected
-        FROM o WHERE penalty = 0.15 AND tolerance = 0.05""",
-    "selection_sensitivity": _CAND + "SELECT penalty, tolerance, requested_k AS selected_k FROM o WHERE selected",
+        FROM o WHERE omitted_metric = '' AND penalty = 0.15 AND tolerance = 0.05""",
+    "selection_sensitivity": _CAND + "SELECT kind, omitted_metric, penalty, tolerance, requested_k AS selected_k FROM o WHERE selected",
     "bow_counts": _WORDS + "SELECT source, term, n FROM c",
     "bow_matrix": _WORDS + "SELECT doc_id, source, term, count(*) AS n FROM t GROUP BY ALL",
     "ctfidf_top_words": _WORDS + """, k AS (SELECT source, sum(n) AS words FROM c GROUP BY ALL), f AS (SELECT term, sum(n) AS frequency FROM c GROUP BY ALL),
