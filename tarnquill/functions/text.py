@@ -7,7 +7,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -50,6 +50,28 @@ def iso_date(text: Column) -> Column:
     return F.left(F.regexp_replace(F.trim(text), r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"), F.lit(10))
 
 
+def any_dash(pattern: str) -> str:
+    """A pattern whose ``[- ]`` takes any dash, blank or non-breaking blank."""
+    return pattern.replace("[- ]", "[-\u2010\u2011\u2012\u2013\u2014\u2212\u00a0 ]")
+
+
+def anchor_words(text: Column, pattern: str) -> Column:
+    """The different words a pattern hits, in their order."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+
+
+def register_functions(spark: SparkSession) -> None:
+    """The text functions for SQL at will: normal_name, compatible_text, parse_keywords."""
+    from tarnquill.operators.observations import parse_record
+
+    def parsed(raw: pd.Series, flat: pd.Series) -> pd.Series:
+        return pd.Series([[{"keyword_id": i, "raw_name": n, "score": s} for i, (n, s) in parse_record(a, b).items()] for a, b in zip(raw, flat)])
+
+    spark.udf.register("normal_name", _names)
+    spark.udf.register("compatible_text", _compatible)
+    spark.udf.register("parse_keywords", F.pandas_udf(parsed, "array<struct<keyword_id:string,raw_name:string,score:double>>"))
+
+
 def masked_mean(rows: Column, mask: Column) -> Column:
     """The mean of the vectors whose mask is 1, at unit length; the zero vector if there is none."""
     kept = F.filter(F.zip_with(rows, mask, lambda r, m: F.when(m > 0, r)), lambda r: r.isNotNull())

@@ -24,7 +24,12 @@ RULES = [
     ("B11", "policy", ["policy plan", "after (19|20)[0-9][0-9]"], ""),
     ("B12", "engine", ["turbine|турбин|turbina"], "wind|ветров"),
 ]
-RECENT, PREVIOUS = ("2025-07-01", "2026-06-30"), ("2024-07-01", "2025-06-30")
+#: The named windows, both days included.
+WINDOWS = {
+    "history": ("2021-07-01", "2026-06-30"), "core": ("2023-07-01", "2026-06-30"), "recent": ("2025-07-01", "2026-06-30"),
+    "previous": ("2024-07-01", "2025-06-30"), "baseline": ("2022-07-01", "2025-06-30"), "cross_source": ("2026-01-01", "2026-06-30"),
+}
+RECENT, PREVIOUS = WINDOWS["recent"], WINDOWS["previous"]
 FIRST_QUARTER, LAST_QUARTER = "2021-07-01", "2026-04-01"
 
 
@@ -78,6 +83,12 @@ def window_label(date: Column) -> Column:
     return F.when(date.between(*RECENT), "recent").when(date.between(*PREVIOUS), "previous")
 
 
+def in_windows(records: DataFrame) -> DataFrame:
+    """(window, source, documents): each record counts in every window its date is in."""
+    names = F.array_compact(F.array(*(F.when(F.col("date").between(*days), F.lit(name)) for name, days in WINDOWS.items())))
+    return records.select("source", "doc_id", F.explode(names).alias("window")).groupBy("window", "source").agg(F.countDistinct("doc_id").alias("documents"))
+
+
 def institutions(members: DataFrame, metadata: DataFrame) -> DataFrame:
     """Distinct institutions per topic and window; stand-ins for nothing don't count."""
     papers = members.where("source = 'paper' AND eligible").select("doc_id", "topic_id", window_label(F.col("date")).alias("window"))

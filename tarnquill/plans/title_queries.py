@@ -71,6 +71,11 @@ def source_window_counts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def window_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Eligible records of each source in the named windows."""
+    return T.in_windows(_population(spark, d).where("eligible"))
+
+
 def topic_bridge(spark: SparkSession, d: str) -> DataFrame:
     """Older categories against title topics: matched and unresolved records."""
     base = _population(spark, d).where("usable AND category_id <> ''").select("doc_id", "category_id")
@@ -184,6 +189,7 @@ SQL = {k: _BASE + v for k, v in {
         + " ".join(f"WHEN '{t}' THEN '{c}'" for t, c, *_ in T.RULES)
         + " END, 1, 1))::INT AS changed FROM population p JOIN (SELECT doc_id, min(topic_id) AS topic_id FROM members GROUP BY ALL) USING (doc_id)) GROUP BY ALL",
 }.items()} | {
+    "window_counts": " UNION ALL ".join(f"SELECT '{n}' AS window, source, count(DISTINCT doc_id) AS documents FROM population WHERE eligible AND date BETWEEN '{a}' AND '{b}' GROUP BY ALL" for n, (a, b) in T.WINDOWS.items()),
     "targeted_sample": f"""SELECT term, doc_id, r::INT AS sample_rank FROM (SELECT *, row_number() OVER (PARTITION BY term ORDER BY CASE WHEN t = term THEN 0 ELSE 1 END,
         md5(concat(doc_id, term, 'tq-4')), doc_id) AS r FROM (SELECT doc_id, lower(trim(title)) AS t, term FROM population, (SELECT unnest({TERMS}) AS term)
         WHERE contains(lower(trim(title)), term))) WHERE r <= 3""",
@@ -197,6 +203,6 @@ SQL = {k: _BASE + v for k, v in {
 
 QUERIES = {f.__name__: f for f in (
     title_rule_membership, title_match_evidence, quarter_population, quarter_dense_share, institution_breadth, trend_tiers,
-    metadata_coverage, source_window_counts, topic_bridge, strata_sample, targeted_sample, coverage_by_source,
+    metadata_coverage, source_window_counts, window_counts, topic_bridge, strata_sample, targeted_sample, coverage_by_source,
     safe_export_cells, label_change_audit, browse_titles,
 )}

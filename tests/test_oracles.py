@@ -5,10 +5,10 @@ from pathlib import Path
 
 import pytest
 
-from tarnquill.plans import bundle_queries, corpus_queries, datasets, keyword_queries, release_queries, title_queries, topic_queries, vector_queries
+from tarnquill.plans import bundle_queries, corpus_queries, datasets, keyword_queries, release_queries, text_queries, title_queries, topic_queries, vector_queries
 
 FOLDER = Path("/root/testdata/sf0.001")
-MODULES = (bundle_queries, corpus_queries, datasets, keyword_queries, release_queries, title_queries, topic_queries, vector_queries)
+MODULES = (bundle_queries, corpus_queries, datasets, keyword_queries, release_queries, text_queries, title_queries, topic_queries, vector_queries)
 SQL = {k: v for m in MODULES for k, v in getattr(m, "SQL", {}).items()}
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no test tables")
