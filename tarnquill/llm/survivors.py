@@ -107,23 +107,18 @@ def elect(
     one = rows.select("work_id", identity, own.alias("standing"), _support(half_life_days).alias("support"), *(
         F.when(F.trim(f) != "", F.unhex(F.md5(form))).alias(f"form_{f}") for f, form in voted.items()
     ))
+    # a record's vote for itself is its standing, so only the other fields carry a vote; fields go by number
+    cells = [F.struct(F.lit(0).cast("tinyint").alias("field"), F.coalesce(F.unhex(F.hex(identity)), F.lit(b"")).alias("form"), F.lit(None).cast("decimal(38,0)").alias("vote"))]
+    cells += [F.struct(F.lit(i).cast("tinyint").alias("field"), F.col(f"form_{f}").alias("form"), F.col("support").alias("vote")) for i, f in enumerate(voted, 1)]
     long = one.select(
-        "work_id", F.struct("standing", (-F.col(identity)).alias("behind")).alias("record"),
-        F.explode(F.array(
-            F.struct(F.lit(identity).alias("field"), F.coalesce(F.unhex(F.hex(identity)), F.lit(b"")).alias("form"), F.col("standing").alias("vote")),
-            *(F.struct(F.lit(f).alias("field"), F.col(f"form_{f}").alias("form"), F.col("support").alias("vote")) for f in voted),
-        )).alias("cell"),
-    ).select("work_id", "record", "cell.*").where("form IS NOT NULL")
-    votes = long.groupBy("work_id", "field", "form").agg(
-        F.sum("vote").alias("all"), F.max("vote").alias("one"), F.max("record").alias("record"), F.count("*").alias("n")
+        "work_id", F.struct("standing", (-F.col(identity)).alias("behind")).alias("record"), F.explode(F.array(*cells)).alias("cell")
+    ).select("work_id", "record", "cell.*").where("form IS NOT NULL")
+    votes = long.groupBy("work_id", "field", "form").agg(F.sum("vote").alias("votes"), F.max("record").alias("record"), F.count("*").alias("n"))
+    vote = F.when(F.col("field") == 0, F.col("record.standing")).otherwise(F.col("votes"))
+    of = lambda i: F.max_by("record.behind", F.when(F.col("field") == i, F.struct(vote, "record")))
+    return votes.groupBy("work_id").agg(
+        F.sum(F.when(F.col("field") == 0, F.col("n"))).alias("records"), (-of(0)).alias(identity), *((-of(i)).alias(f"{f}_snapshot") for i, f in enumerate(voted, 1))
     )
-    vote = F.when(F.col("field") == identity, F.col("one")).otherwise(F.col("all"))
-    winners = votes.groupBy("work_id", "field").agg(F.max_by("record", F.struct(vote, "record")).alias("record"), F.sum("n").alias("n"))
-    won = lambda f: F.max(F.when(F.col("field") == f, -F.col("record.behind")))
-    return winners.groupBy("work_id").agg(
-        F.max(F.when(F.col("field") == identity, F.col("n"))).alias("records"), won(identity).alias(identity),
-        *(won(f).alias(f"{f}_snapshot") for f in voted),
-    )
 
 
 def with_values(elected: DataFrame, rows: DataFrame, fields: list[str], identity: str = "snapshot_id") -> DataFrame:
