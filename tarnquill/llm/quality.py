@@ -79,6 +79,8 @@ class _Kinds(dict):
 _KINDS, _COMMON_SET = _Kinds(), frozenset(COMMON)
 _ASCII_KINDS = bytes(ord(_KINDS[i]) for i in range(128)) + bytes(128)
 _KIND_LETTERS = "svHhcldxmp"
+_ONLY_LETTERS = bytes(i if chr(i).isalpha() else 32 for i in range(128)) + b" " * 128
+_COMMON_BYTES = frozenset(w.encode() for w in COMMON if w.isascii())
 
 
 def _kind_counts(low: str) -> dict[str, int]:
@@ -102,7 +104,10 @@ def text_statistics(text: str) -> list[float]:
     words, n_lines, lengths = max(len(tokens), 1), max(len(lines), 1), [len(x) for x in tokens]
     han = many["h"] + many["H"]
     units = max(len(tokens) + han / 2, 1.0)
-    common = sum(map(_COMMON_SET.__contains__, _LETTERS.findall(low)))
+    if ascii_:
+        common = sum(map(_COMMON_BYTES.__contains__, low.encode().translate(_ONLY_LETTERS).split()))
+    else:
+        common = sum(map(_COMMON_SET.__contains__, _LETTERS.findall(low)))
     shape = dict.fromkeys(("sentence", "bullet", "leader", "cell", "pair", "number"), 0)
     ended = 0
     for line in lines:
