@@ -176,6 +176,9 @@ def fit(
     return h, errors
 
 
+BATCH_ROWS, MOST_BATCHES = 4096, 8
+
+
 class OnlineFit(NamedTuple):
     h: np.ndarray
     errors: list[float]
@@ -183,16 +186,18 @@ class OnlineFit(NamedTuple):
 
 
 def fit_online(
-    rows: DataFrame, n_terms: int, topics: int, epochs: int = 5, batches: int = 8, steps: int = 30, seed: int = 17, forget: float = 1.0,
+    rows: DataFrame, n_terms: int, topics: int, epochs: int = 5, batches: int | None = None, steps: int = 30, seed: int = 17, forget: float = 1.0,
     tolerance: float = 1e-4, diagnostic: int = 1024,
 ) -> OnlineFit:
-    """A fit in mini-batches: every row is in one of ``batches`` batches and is visited once an epoch, the batches in an order
-    of their own each epoch. After a batch the running sums A and B, the older ones weighted by ``forget``, give h = A / B.
+    """A fit in mini-batches: every row is in one of ``batches`` batches (where not stated, of ``BATCH_ROWS`` rows at least and
+    ``MOST_BATCHES`` at most) and is visited once an epoch, the batches in an order of their own each epoch. After a batch the running sums A and B, the older ones weighted by ``forget``, give h = A / B.
 
     ``errors`` has the relative error over ``diagnostic`` rows (the first by a hash) after each epoch; they only measure.
     The visits are counted in the tasks and have to be the epochs times the rows.
     """
     spark = rows.sparkSession
+    total = rows.count()
+    batches = min(MOST_BATCHES, max(1, -(-total // BATCH_ROWS))) if batches is None else batches
     path = kept_folder(spark, "batches")
     spread = rows.select("row_id", F.col("cols").cast("array<int>"), F.col("vals").cast("array<double>")).repartition(max(spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()))
     spread.withColumn("batch", F.pmod(F.xxhash64("row_id"), F.lit(batches)).cast("int")).write.partitionBy("batch").parquet(path)
@@ -210,8 +215,8 @@ def fit_online(
         for w, numerator, _, _, val in solve_rows(sample, h, h @ h.T, 200, tolerance):
             sums += [val @ val, (w * numerator).sum(), ((w @ (h @ h.T)) * w).sum()]
         errors.append(_error(*sums))
-    if visits != epochs * kept.count():
-        raise ContractError(f"{visits} visits of {epochs} x {kept.count()} rows")
+    if visits != epochs * total:
+        raise ContractError(f"{visits} visits of {epochs} x {total} rows")
     return OnlineFit(h, errors, visits)
 
 
