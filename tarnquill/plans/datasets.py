@@ -89,8 +89,6 @@ found AS (SELECT snapshot_id, node_path, parent_path, trim(node ->> '$.display_n
 keywords AS (SELECT snapshot_id, node_path, parent_path, CASE WHEN trim(coalesce(id, '')) = '' THEN concat('label:', lower(raw_name)) ELSE id END AS keyword_id, raw_name FROM found)
 """
 
-_NODES = NODES  # the name before
-
 # a plainer reading than the operator's, with the separators of these tables
 PACKED_CTES = r"""
 WITH f AS (SELECT 'institutions' AS field, meta_id::VARCHAR AS record_key, trim(institutions, E' \t\r\n') AS t, false AS codes FROM recent_metadata
