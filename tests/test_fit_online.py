@@ -89,3 +89,35 @@ def test_model_bound():
     with pytest.raises(ValueError):
         N._start(N.MOST_CELLS, 2, 1)
     assert issubclass(ContractError, ValueError)
+
+
+@pytest.fixture
+def spread(monkeypatch):
+    """Nothing is held by the driver; blocks and groups are small."""
+    for name, value in (("MOST_HELD", 0), ("MOST_CELLS", 100), ("SPREAD_COLUMNS", 7), ("GROUP_CELLS", 40)):
+        monkeypatch.setattr(N, name, value)
+
+
+def test_spread_fit_equals_held(rows, monkeypatch, request):
+    held = N.fit_online(rows, 60, 4, epochs=3, batches=5)
+    request.getfixturevalue("spread")
+    found = N.fit_online(rows, 60, 4, epochs=3, batches=5)
+    cols, h = found.h.read(rows.sparkSession.range(60).selectExpr("CAST(id AS int) AS col"))
+    assert found.visits == held.visits and cols.tolist() == list(range(60)) and np.allclose(found.errors, held.errors, rtol=1e-3)
+    assert np.allclose(h, held.h, rtol=1e-2, atol=1e-4) and np.allclose(found.h.gram, h @ h.T)
+
+
+def test_spread_start_equals_start(spark, monkeypatch):
+    whole = N._start(4, 60, 17)
+    monkeypatch.setattr(N, "SPREAD_COLUMNS", 7)
+    model, _ = N._spread_start(spark, 4, 60, 17)
+    assert np.allclose(model.read(spark.range(60).selectExpr("CAST(id AS int) AS col"))[1], whole, rtol=1e-6)
+
+
+@pytest.mark.parametrize("query", ["nmf_online_error"])
+def test_queries_beyond_the_drivers_bound(spark, spread, query):
+    import __spark_entry__ as entry
+
+    d = "/root/testdata/sf0.001"
+    found = entry.queries()[query](spark, d).collect()
+    assert len({r[0] for r in found}) == len(found) == 5
