@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tarnquill.operators import factors as N
 from tarnquill.operators import multilabel as M
 from tarnquill.operators.integrity import ContractError
+from tarnquill.plans import topic_queries as Q
 
 
 @pytest.fixture(scope="module")
@@ -100,11 +101,16 @@ def spread(monkeypatch):
 
 def test_spread_fit_equals_held(rows, monkeypatch, request):
     held = N.fit_online(rows, 60, 4, epochs=3, batches=5)
+    labels = {r.row_id: r for r in N.infer_hard(rows, held.h).collect()}
     request.getfixturevalue("spread")
     found = N.fit_online(rows, 60, 4, epochs=3, batches=5)
     cols, h = found.h.read(rows.sparkSession.range(60).selectExpr("CAST(id AS int) AS col"))
     assert found.visits == held.visits and cols.tolist() == list(range(60)) and np.allclose(found.errors, held.errors, rtol=1e-3)
     assert np.allclose(h, held.h, rtol=1e-2, atol=1e-4) and np.allclose(found.h.gram, h @ h.T)
+    spread_labels = {r.row_id: r for r in N.infer_hard(rows, found.h).collect()}
+    assert spread_labels.keys() == labels.keys()
+    assert all(abs(spread_labels[i].top1 - r.top1) < 5e-3 and (spread_labels[i].topic_id == r.topic_id or r.margin < 1e-2) for i, r in labels.items())
+    assert spread_labels[700].topic_id == -1
 
 
 def test_spread_start_equals_start(spark, monkeypatch):
@@ -114,10 +120,10 @@ def test_spread_start_equals_start(spark, monkeypatch):
     assert np.allclose(model.read(spark.range(60).selectExpr("CAST(id AS int) AS col"))[1], whole, rtol=1e-6)
 
 
-@pytest.mark.parametrize("query", ["nmf_online_error"])
+@pytest.mark.parametrize("query", ["nmf_fit_infer", "nmf_online_error"])
 def test_queries_beyond_the_drivers_bound(spark, spread, query):
     import __spark_entry__ as entry
 
     d = "/root/testdata/sf0.001"
     found = entry.queries()[query](spark, d).collect()
-    assert len({r[0] for r in found}) == len(found) == 5
+    assert len({r[0] for r in found}) == len(found) == (5 if query == "nmf_online_error" else Q._features(spark, d)[0].count())
