@@ -26,7 +26,9 @@ from tarnquill.session import drop_folder, kept_folder
 EPS = float(np.finfo(np.float32).eps)
 MOST_CELLS = 32_000_000
 #: Cells of a topic matrix that the driver and every task hold in a mini-batch fit; larger ones are spread.
-MOST_HELD = 4_000_000
+MOST_HELD = 8_000_000
+#: Rows that are solved together: a few of their weights' arrays fit a core's cache.
+SOLVED_ROWS = 512
 #: Epochs after which a fit ends that hasn't settled.
 MOST_EPOCHS = 60
 
@@ -58,8 +60,8 @@ def solve_rows(
     doesn't depend on its batch. ``n_terms``: where h has only some of the columns, how many there are."""
     turned = np.ascontiguousarray(h.T)
     n_terms = h.shape[1] if n_terms is None else n_terms
-    for at in range(0, len(part), 1024):
-        cols, vals = ([np.asarray(x, kind) for x in part[name].iloc[at : at + 1024]] for name, kind in (("cols", int), ("vals", h.dtype)))
+    for at in range(0, len(part), SOLVED_ROWS):
+        cols, vals = ([np.asarray(x, kind) for x in part[name].iloc[at : at + SOLVED_ROWS]] for name, kind in (("cols", int), ("vals", h.dtype)))
         sizes = np.array([len(c) for c in cols])
         row = np.repeat(np.arange(len(cols)), sizes)
         col, val = np.concatenate(cols), np.concatenate(vals)
@@ -70,18 +72,23 @@ def solve_rows(
             numerator[some] = np.add.reduceat(turned[col] * val[:, None], starts, axis=0)
         mass = np.maximum(np.bincount(row, val, len(cols)), 0.0)
         w = np.repeat(np.sqrt(mass / n_terms / len(h))[:, None], len(h), axis=1).astype(h.dtype)
-        open_ = np.arange(len(cols))
+        # in place: the products are the work, and copies of the weights would cost as much again
+        open_, now, above, below = np.arange(len(cols)), w.copy(), numerator, np.empty(w.shape, np.result_type(w, gram))
         for step in range(steps):
-            before = w[open_]
-            denominator = before @ gram
-            denominator[denominator == 0] = EPS
-            after = before * numerator[open_] / denominator
-            w[open_] = after
-            if tolerance and step % 5 == 4:
-                moved = np.linalg.norm(after - before, axis=1) > tolerance * np.linalg.norm(after, axis=1)
-                open_ = open_[moved]
-                if not len(open_):
-                    break
+            before = now.copy() if tolerance and step % 5 == 4 else None
+            np.matmul(now, gram, out=below)
+            if not below.all():
+                below[below == 0] = EPS
+            now *= above
+            now /= below
+            if before is not None:
+                moved = np.linalg.norm(np.subtract(now, before, out=before), axis=1) > tolerance * np.linalg.norm(now, axis=1)
+                if not moved.all():
+                    w[open_] = now
+                    open_, now, above, below = open_[moved], now[moved], above[moved], below[: moved.sum()]
+                    if not len(open_):
+                        break
+        w[open_] = now
         yield w, numerator, row, col, val
 
 
@@ -102,16 +109,17 @@ def _pass_sums(rows: DataFrame, h: np.ndarray, steps: int, tolerance: float) ->
     """(W'X as topics x terms, W'W, [square, cross, fitted], rows) of one pass with h fixed.
 
     A task sums its rows sparsely: it sends, for each block of columns, only columns that its rows have. The blocks are
-    added in a tree: first over branches of about the root of the number of tasks, then over those.
+    added in a tree: first over branches of about the root of the number of tasks, then over those. They are added in 64
+    bits and sent in those of h.
     """
     shared = rows.sparkSession.sparkContext.broadcast(h)
-    branches = max(1, int(np.sqrt(rows.rdd.getNumPartitions())))
+    branches, topics, kind = max(1, int(np.sqrt(rows.rdd.getNumPartitions()))), len(h), h.dtype
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         h = shared.value
-        gram, topics = h @ h.T, len(h)
+        gram = h @ h.T
         slots, wx, ww = np.full(h.shape[1], -1), np.zeros((0, topics)), np.zeros((topics, topics))
         used, totals = 0, np.zeros(4)
         for part in parts:
@@ -129,32 +137,33 @@ def _pass_sums(rows: DataFrame, h: np.ndarray, steps: int, tolerance: float) ->
         have = np.flatnonzero(slots >= 0)
         for block in np.unique(have // BLOCK_COLUMNS):
             cols = have[have // BLOCK_COLUMNS == block]
-            yield pd.DataFrame({"block": [block], "branch": [branch], "cols": [cols.tolist()], "part": [wx[slots[cols]].tobytes()]})
+            yield pd.DataFrame({"block": [block], "branch": [branch], "cols": [cols.tolist()], "part": [wx[slots[cols]].astype(h.dtype).tobytes()]})
 
     def add(part: pd.DataFrame) -> pd.DataFrame:
         block, branch = int(part["block"].iloc[0]), int(part["branch"].iloc[0])
-        values = [np.frombuffer(x) for x in part["part"]]
+        values = [np.frombuffer(x, float if block < 0 else kind) for x in part["part"]]
         if block < 0:
             cols, total = [], np.sum(values, axis=0)
         else:
             each = [np.asarray(c, int) for c in part["cols"]]
             cols = np.unique(np.concatenate(each))
-            total = np.zeros((len(cols), len(shared.value)))
+            total = np.zeros((len(cols), topics))
             for c, v in zip(each, values):
                 total[np.searchsorted(cols, c)] += v.reshape(len(c), -1)
-            cols = cols.tolist()
+            cols, total = cols.tolist(), total.astype(kind)
         return pd.DataFrame({"block": [block], "branch": [branch], "cols": [cols], "part": [total.tobytes()]})
 
     sums = rows.select("cols", "vals").mapInPandas(run, _SUMS)
     if branches > 4:
         sums = sums.groupBy("block", "branch").applyInPandas(add, _SUMS)
     found = sums.groupBy("block").applyInPandas(add, _SUMS).collect()  # the model's size, bounded by MOST_CELLS
-    wx, topics = np.zeros((h.shape[1], len(h))), len(h)
+    shared.destroy()
+    wx = np.zeros((h.shape[1], topics), kind)
     for r in found:
         if r.block < 0:
             head = np.frombuffer(r.part)
         else:
-            wx[r.cols] = np.frombuffer(r.part).reshape(len(r.cols), -1)
+            wx[r.cols] = np.frombuffer(r.part, kind).reshape(len(r.cols), -1)
     return wx.T, head[4:].reshape(topics, topics), head[:3], int(head[3])
 
 
@@ -197,6 +206,8 @@ class OnlineFit(NamedTuple):
 #: Of a spread model: columns of a block, and cells of the rows that one group has at most, about, whatever their number.
 SPREAD_COLUMNS, GROUP_CELLS = 512, 1 << 17
 _MODEL = "block int, col int, h binary, b binary"
+#: Branches in which sums of topics squared are added before the driver gets them, where there are many.
+BRANCHES = 16
 
 
 class SpreadModel(NamedTuple):
@@ -228,17 +239,19 @@ def _write(df: DataFrame, name: str, *by: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def _in_tree(sums: DataFrame) -> np.ndarray:
-    """The sum of (branch, part): first of each branch, then over the branches."""
+def _in_tree(sums: DataFrame, n: int) -> np.ndarray:
+    """The sum of ``n`` rows (branch, part): where they aren't few, first of each branch, then over the branches."""
 
     def add(part: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"branch": part["branch"].iloc[:1], "part": [np.sum([np.frombuffer(x) for x in part["part"]], axis=0).tobytes()]})
 
-    return np.sum([np.frombuffer(r.part) for r in sums.groupBy("branch").applyInPandas(add, "branch int, part binary").collect()], axis=0)
+    if n > 2 * BRANCHES:
+        sums = sums.groupBy("branch").applyInPandas(add, "branch int, part binary")
+    return np.sum([np.frombuffer(r.part) for r in sums.collect()], axis=0)
 
 
 def _gram(columns: DataFrame, topics: int) -> np.ndarray:
-    branches = max(1, int(np.sqrt(columns.rdd.getNumPartitions())))
+    tasks = columns.rdd.getNumPartitions()
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -247,9 +260,9 @@ def _gram(columns: DataFrame, topics: int) -> np.ndarray:
         for part in parts:
             h = _stacked(part["h"], topics).astype(float)
             gram += h.T @ h
-        yield pd.DataFrame({"branch": [TaskContext.get().partitionId() % branches], "part": [gram.tobytes()]})
+        yield pd.DataFrame({"branch": [TaskContext.get().partitionId() % BRANCHES], "part": [gram.tobytes()]})
 
-    return _in_tree(columns.select("h").mapInPandas(run, "branch int, part binary")).reshape(topics, topics)
+    return _in_tree(columns.select("h").mapInPandas(run, "branch int, part binary"), tasks).reshape(topics, topics)
 
 
 def _spread_start(spark, topics: int, n_terms: int, seed: int) -> tuple[SpreadModel, str]:
@@ -273,12 +286,16 @@ def _spread_start(spark, topics: int, n_terms: int, seed: int) -> tuple[SpreadMo
     return SpreadModel(columns, n_terms, topics, _gram(columns, topics)), path
 
 
-def _grouped(rows: DataFrame, cells: int) -> DataFrame:
+def _groups(rows: DataFrame, cells: int) -> int:
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return cores * max(1, -(-cells // (GROUP_CELLS * cores)))
+
+
+def _grouped(rows: DataFrame, groups: int) -> DataFrame:
     """Adds ``part``, the group of a row: a whole number of groups for each core. Their keys are chosen so that each has
     an exchange's partition of its own, as far as there are as many."""
     spark = rows.sparkSession
-    cores, n = spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    groups = cores * max(1, -(-cells // (GROUP_CELLS * cores)))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.col("id").cast("int")
     spots: dict[int, list[int]] = {}
     for r in spark.range(16 * (n + groups)).select(key.alias("id"), F.pmod(F.hash(key), F.lit(n)).alias("spot")).collect():
@@ -319,7 +336,7 @@ def _placed(rows: pd.DataFrame, have: np.ndarray) -> pd.DataFrame:
     return rows.assign(cols=np.split(place, np.cumsum(sizes)[:-1]))
 
 
-def _spread_sums(rows: DataFrame, needs: DataFrame, model: SpreadModel, steps: int, tolerance: float) -> tuple[DataFrame, str, np.ndarray, int]:
+def _spread_sums(rows: DataFrame, needs: DataFrame, groups: int, model: SpreadModel, steps: int, tolerance: float) -> tuple[DataFrame, str, np.ndarray, int]:
     """(table of (block, col, branch, part), the parts of X'W by column, its folder, W'W, rows) of one pass."""
     n_terms, topics, shared = model.n_terms, model.topics, rows.sparkSession.sparkContext.broadcast(model.gram.astype(np.float32))
 
@@ -330,11 +347,11 @@ def _spread_sums(rows: DataFrame, needs: DataFrame, model: SpreadModel, steps: i
             _add_piece(wx, w, row, col, val)
             head += np.r_[len(w), (w.T @ w).ravel()]
         return pd.DataFrame({
-            "block": np.r_[-1, have // SPREAD_COLUMNS], "col": np.r_[-1, have], "branch": int(rows["part"].iloc[0]) % 16, "part": [head.tobytes(), *_texts(wx)],
+            "block": np.r_[-1, have // SPREAD_COLUMNS], "col": np.r_[-1, have], "branch": int(rows["part"].iloc[0]) % BRANCHES, "part": [head.tobytes(), *_texts(wx)],
         })
 
     sums, path = _write(_met(rows, needs, model).applyInPandas(run, "block int, col int, branch int, part binary"), "sums")
-    head = _in_tree(sums.where("col < 0").select("branch", "part"))
+    head = _in_tree(sums.where("col < 0").select("branch", "part"), groups)
     shared.destroy()
     return sums.where("col >= 0"), path, head[1:].reshape(topics, topics), int(head[0])
 
@@ -360,25 +377,29 @@ def _spread_step(model: SpreadModel, sums: DataFrame, ww: np.ndarray, forget: fl
 
 
 def _fit_spread(
-    kept: DataFrame, sample: pd.DataFrame, n_terms: int, topics: int, epochs: int, batches: int, steps: int, seed: int, forget: float, tolerance: float,
+    kept: DataFrame, sample: pd.DataFrame | None, n_terms: int, topics: int, epochs: int, batches: int, steps: int, seed: int, forget: float, tolerance: float,
 ) -> OnlineFit:
     """``fit_online`` with a spread model: rows meet the columns they have in groups, and each block of columns is updated
     by a task of its own. Tables that have been replaced are deleted."""
     spark = kept.sparkSession
-    rows, rows_path = _write(_grouped(kept, -(-_cells(kept) // batches)), "groups", "batch")
+    groups = _groups(kept, -(-_cells(kept) // batches))
+    rows, rows_path = _write(_grouped(kept, groups), "groups", "batch")
     needs, needs_path = _write(_needs(rows, "batch", "part"), "needs", "batch")
-    seen = spark.createDataFrame([(int(c),) for c in sorted({int(c) for cols in sample["cols"] for c in cols})], "col int")
+    if sample is not None:
+        seen = spark.createDataFrame([(int(c),) for c in sorted({int(c) for cols in sample["cols"] for c in cols})], "col int")
     (model, path), visits, errors = _spread_start(spark, topics, n_terms, seed), 0, []
     for epoch in range(epochs):
         for batch in np.random.default_rng([seed, epoch]).permutation(batches):
             here = F.col("batch") == int(batch)
-            sums, sums_path, ww, n = _spread_sums(rows.where(here).select("part", "cols", "vals"), needs.where(here).select("part", "col"), model, steps, tolerance)
+            sums, sums_path, ww, n = _spread_sums(rows.where(here).select("part", "cols", "vals"), needs.where(here).select("part", "col"), groups, model, steps, tolerance)
             if n:
                 old, (model, path) = path, _spread_step(model, sums, ww, forget, not visits)
                 drop_folder(spark, old)
             drop_folder(spark, sums_path)
             spark.sparkContext._jvm.System.gc()  # else the exchanges' files stay until the driver happens to collect its garbage
             visits += n
+        if sample is None:
+            continue
         have, h = model.read(seen)
         found = np.zeros(3)
         for w, numerator, _, _, val in solve_rows(_placed(sample, have), h, model.gram, 200, tolerance, n_terms):
@@ -391,12 +412,13 @@ def _fit_spread(
 
 def fit_online(
     rows: DataFrame, n_terms: int, topics: int, epochs: int = 5, batches: int | None = None, steps: int = 30, seed: int = 17, forget: float = 1.0,
-    tolerance: float = 1e-4, diagnostic: int = 1024,
+    tolerance: float = 1e-4, diagnostic: int = 1024, measured: bool = True,
 ) -> OnlineFit:
     """A fit in mini-batches: every row is in one of ``batches`` batches (where not stated, of ``BATCH_ROWS`` rows at least and
     ``MOST_BATCHES`` at most) and is visited once an epoch, the batches in an order of their own each epoch. After a batch the running sums A and B, the older ones weighted by ``forget``, give h = A / B.
 
-    ``errors`` has the relative error over ``diagnostic`` rows (the first by a hash) after each epoch; they only measure.
+    ``errors`` has the relative error over ``diagnostic`` rows (the first by a hash) after each epoch; they only measure, and
+    are left out where not ``measured``.
     The visits are counted in the tasks and have to be the epochs times the rows. Beyond ``MOST_HELD`` cells h is spread.
     """
     spark = rows.sparkSession
@@ -406,19 +428,25 @@ def fit_online(
     spread = rows.select("row_id", F.col("cols").cast("array<int>"), F.col("vals").cast("array<double>")).repartition(max(spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()))
     spread.withColumn("batch", F.pmod(F.xxhash64("row_id"), F.lit(batches)).cast("int")).write.partitionBy("batch").parquet(path)
     kept = spark.read.schema("row_id bigint, cols array<int>, vals array<double>, batch int").parquet(path)
-    sample = kept.orderBy(F.xxhash64("row_id"), "row_id").limit(diagnostic).select("cols", "vals").toPandas()
+    sample = kept.orderBy(F.xxhash64("row_id"), "row_id").limit(diagnostic).select("cols", "vals").toPandas() if measured else None
     if n_terms * topics > MOST_HELD:
         found = _fit_spread(kept, sample, n_terms, topics, epochs, batches, steps, seed, forget, tolerance)
         drop_folder(spark, path)
         return _checked(found, epochs, total)
-    h, a, b, visits, errors = _start(topics, n_terms, seed), 0.0, 0.0, 0, []
+    h, visits, errors = _start(topics, n_terms, seed), 0, []
+    a, b = np.zeros_like(h), np.zeros_like(h)
     for epoch in range(epochs):
         for batch in np.random.default_rng([seed, epoch]).permutation(batches):
             wx, ww, _, n = _pass_sums(kept.where(F.col("batch") == int(batch)), h.astype(np.float32), steps, tolerance)
             visits += n
             if n:
-                a, b = forget * a + h * wx, forget * b + ww @ h
-                h = a / np.maximum(b, EPS)
+                a *= forget
+                a += h * wx
+                b *= forget
+                b += ww @ h
+                np.divide(a, np.maximum(b, EPS, out=h), out=h)
+        if not measured:
+            continue
         sums = np.zeros(3)
         for w, numerator, _, _, val in solve_rows(sample, h, h @ h.T, 200, tolerance):
             sums += [val @ val, (w * numerator).sum(), ((w @ (h @ h.T)) * w).sum()]
@@ -468,8 +496,7 @@ def infer_hard(rows: DataFrame, h: np.ndarray | SpreadModel, steps: int = 200, t
 
 def _infer_spread(rows: DataFrame, model: SpreadModel, steps: int, tolerance: float, schema: str) -> DataFrame:
     n_terms, topics, shared = model.n_terms, model.topics, rows.sparkSession.sparkContext.broadcast(model.gram)
-    cells = _cells(rows)
-    rows, _ = _write(_grouped(rows.select("row_id", "cols", "vals"), cells), "groups")
+    rows, _ = _write(_grouped(rows.select("row_id", "cols", "vals"), _groups(rows, _cells(rows))), "groups")
     needs, _ = _write(_needs(rows, "part"), "needs")
 
     def run(rows: pd.DataFrame, columns: pd.DataFrame) -> pd.DataFrame:

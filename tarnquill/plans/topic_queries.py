@@ -220,7 +220,7 @@ def _features(spark: SparkSession, d: str) -> tuple[DataFrame, int]:
 def nmf_fit_infer(spark: SparkSession, d: str) -> DataFrame:
     """Each record's hard topic, share and margin by a factorisation fitted on the same tables in mini-batches."""
     rows, n = _features(spark, d)
-    return N.infer_hard(rows, N.fit_online(rows, n, TOPICS).h)
+    return N.infer_hard(rows, N.fit_online(rows, n, TOPICS, measured=False).h)
 
 
 def nmf_error(spark: SparkSession, d: str) -> DataFrame:

@@ -127,3 +127,24 @@ def test_queries_beyond_the_drivers_bound(spark, spread, query):
     d = "/root/testdata/sf0.001"
     found = entry.queries()[query](spark, d).collect()
     assert len({r[0] for r in found}) == len(found) == (5 if query == "nmf_online_error" else Q._features(spark, d)[0].count())
+
+
+def test_solver_works_in_place():
+    """The steps make no copies of the weights: rows of one term each need their weights, numerators, products and little else."""
+    import tracemalloc
+
+    import pandas as pd
+
+    part = pd.DataFrame({"cols": [[i % 90] for i in range(400)], "vals": [[1.0 + i] for i in range(400)]})
+    h = np.random.default_rng(3).random((300, 90)).astype(np.float32)
+    tracemalloc.start()
+    w = next(N.solve_rows(part, h, h @ h.T, 30, 0.0))[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(w[7], N.solve(np.array([7]), np.array([8.0]), h.astype(float), (h @ h.T).astype(float), 30), rtol=1e-3)
+    assert peak < 6 * w.nbytes
+
+
+def test_labels_measure_no_errors(spark, monkeypatch):
+    monkeypatch.setattr(N, "_error", lambda *_: pytest.fail("the labels need no errors"))
+    assert Q.nmf_fit_infer(spark, "/root/testdata/sf0.001").count() > 0
