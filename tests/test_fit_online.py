@@ -148,3 +148,22 @@ def test_solver_works_in_place():
 def test_labels_measure_no_errors(spark, monkeypatch):
     monkeypatch.setattr(N, "_error", lambda *_: pytest.fail("the labels need no errors"))
     assert Q.nmf_fit_infer(spark, "/root/testdata/sf0.001").count() > 0
+
+
+@pytest.mark.parametrize("held", [True, False])
+def test_errors_are_of_all_rows(spark, monkeypatch, held):
+    """1,600 rows in two kinds of unlike size, so that any thousand of them have another error."""
+    if not held:
+        for name, value in (("MOST_HELD", 0), ("SPREAD_COLUMNS", 7), ("GROUP_CELLS", 400)):
+            monkeypatch.setattr(N, name, value)
+    rng = np.random.default_rng(7)
+    cells = [(i, np.sort(rng.choice(40, 4, replace=False)).tolist(), (rng.random(4) * rng.choice([0.1, 5.0])).tolist()) for i in range(1600)]
+    cells.append((1600, [], []))
+    rows = spark.createDataFrame(cells, "row_id bigint, cols array<int>, vals array<double>").repartition(5)
+    found = N.fit_online(rows, 40, 3, epochs=1, batches=2)
+    h = found.h if held else found.h.read(spark.range(40).selectExpr("CAST(id AS int) AS col"))[1]
+    x = np.zeros((1601, 40))
+    for i, cols, vals in cells:
+        x[i, cols] = vals
+    w = np.stack([N.solve(np.flatnonzero(r), r[r > 0], h, h @ h.T, 400) for r in x])
+    assert np.isclose(found.errors[0], np.sqrt(((x - w @ h) ** 2).sum() / (x * x).sum()), rtol=2e-4)
